@@ -98,13 +98,14 @@ def upsert_table(
     table: str,
     keys: Sequence[str],
     partition_by: str = "observation_date",
+    grain: str = tables.DAY,
     cache: bool = True,
 ) -> list | None:
     """Create the table from the source, or merge the source into the partitions it touches.
 
     Returns the touched partition values, None after creation. The partition column must be
     a key: then no row can move to another partition, and partitions the source does not
-    mention need neither be read nor written.
+    mention need neither be read nor written. `grain` counts at creation only.
 
     `cache` keeps the source while it is passed several times; switch it off for a source
     that is as cheap to read again, such as a stored table.
@@ -112,31 +113,37 @@ def upsert_table(
     if partition_by not in keys:
         raise ValueError(f"partition column {partition_by} must be one of the keys {list(keys)}")
     if not tables.table_exists(spark, table):
-        tables.create_table(source, table, partition_by)
+        tables.create_table(source, table, partition_by, grain)
         return None
     if tables.has_row_level_catalog(spark, table):
         merge_into(source, table, keys)
         return None
+    target = tables.read_table(spark, table)
+    grain = tables.grain_of(target.columns, partition_by)
+    column = tables.partition_column(partition_by, grain)
     if cache:
         source = source.persist()
     try:
-        # One value per day in the increment: the driver holds as many anyway as directories
-        # of the table, and only literal values prune the scan at planning.
-        touched = [row[0] for row in source.select(partition_by).distinct().collect()]
+        # One value per partition of the increment: the driver holds as many anyway as
+        # directories of the table, and only literal values prune the scan at planning.
+        values = source.select(tables.partition_value(partition_by, grain)).distinct()
+        touched = [row[0] for row in values.collect()]
         if touched:
-            target = tables.read_table(spark, table).filter(_among(partition_by, touched))
+            target = target.filter(_among(column, touched))
+            if column != partition_by:
+                target = target.drop(column)
             merged = merge_upsert(target, source, keys)
-            tables.overwrite_partitions(merged, table, partition_by)
+            tables.overwrite_partitions(merged, table, partition_by, grain)
         return touched
     finally:
         if cache:
             source.unpersist()
 
 
-def _among(column: str, values: list) -> Column:
-    known = [v for v in values if v is not None]
-    among = F.col(column).isin(known)
-    return among if len(known) == len(values) else among | F.col(column).isNull()
+def _among(column: str, days: list) -> Column:
+    known = ", ".join(f"DATE '{d.isoformat()}'" for d in days if d is not None)
+    among = F.expr(f"`{column}` IN ({known})") if known else F.lit(False)
+    return among | F.col(column).isNull() if None in days else among
 
 
 def merge_into(source: DataFrame, table: str, keys: Sequence[str]) -> None:

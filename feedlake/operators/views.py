@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.functions.convert import is_finite
+from feedlake.sources.tables import DAY, grain_of, partition_column
 
 
 def date_bounds(gold: DataFrame) -> DataFrame:
@@ -18,7 +19,14 @@ def date_bounds(gold: DataFrame) -> DataFrame:
 
 
 def on_date(gold: DataFrame, day: date) -> DataFrame:
-    return gold.filter(F.col("observation_date") == F.lit(day))
+    """Rows of one day; a table partitioned by a coarser grain is pruned by that as well."""
+    grain = grain_of(gold.columns, "observation_date")
+    rows = gold.filter(F.col("observation_date") == F.lit(day))
+    if grain == DAY:
+        return rows
+    return rows.filter(
+        F.col(partition_column("observation_date", grain)) == F.trunc(F.lit(day), grain)
+    )
 
 
 def miss_distances(gold: DataFrame, day: date) -> DataFrame:

@@ -175,9 +175,9 @@ def upsert_create(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.create_namespace(spark, namespace, place)
     table = f"{namespace}.orders"
     keys = ["day", "o_orderkey"]
-    upsert_table(spark, _target(spark, sf_dir), table, keys, partition_by="day")
+    upsert_table(spark, _target(spark, sf_dir), table, keys, "day", tables.YEAR)
     raised = _target(spark, sf_dir).withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    upsert_table(spark, raised, table, keys, partition_by="day", cache=False)
+    upsert_table(spark, raised, table, keys, "day", cache=False)
     return tables.read_table(spark, table).select(*synthetic.ORDER_FIELDS)
 
 
@@ -228,7 +228,7 @@ def landed_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, landing = _landed(spark, sf_dir)
     jobs.bronze_to_silver_stream(
-        spark, landing, f"{root}/silver", f"{root}/rejected", f"{root}/checkpoint"
+        spark, landing, f"{root}/silver", f"{root}/rejected", f"{root}/checkpoint", tables.MONTH
     )
     return tables.read_table(spark, f"{root}/silver").select(*SILVER_COLUMNS)
 
@@ -237,8 +237,10 @@ def layers_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze to silver to gold in batch form, the gold job twice."""
     root, landing = _landed(spark, sf_dir)
     silver, gold = f"{root}/silver", f"{root}/gold"
-    jobs.bronze_to_silver(spark, landing, silver, f"{root}/rejected", f"{root}/ledger", "first")
-    jobs.silver_to_gold(spark, silver, gold)
+    jobs.bronze_to_silver(
+        spark, landing, silver, f"{root}/rejected", f"{root}/ledger", "first", tables.MONTH
+    )
+    jobs.silver_to_gold(spark, silver, gold, grain=tables.MONTH)
     jobs.silver_to_gold(spark, silver, gold)
     return tables.read_table(spark, gold).select(*jobs.GOLD_TABLE_COLUMNS)
 

@@ -127,7 +127,7 @@ def _histogram(rows: str, bins: int) -> str:
 
 
 VIEW_ROWS = "FROM orders JOIN lineitem ON o_orderkey = l_orderkey"
-VIEW_DAY = "CAST(o_orderdate AS DATE) = DATE '1998-10-03'"
+VIEW_DAY = "CAST(o_orderdate AS DATE) = DATE '1995-02-18'"
 
 ORACLES = {
     "feed_explode_days": """

@@ -32,7 +32,7 @@ from feedlake.sources.schemas import (
 from feedlake.streaming.increment import pending_objects
 
 CALENDAR = (date(1992, 1, 1), date(2002, 12, 31))
-VIEW_DAY = date(1998, 10, 3)
+VIEW_DAY = date(1995, 2, 18)
 
 
 # -- feed -------------------------------------------------------------------------------

@@ -7,6 +7,7 @@ layouts, documents may contain line breaks, and large files of many documents st
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,14 +45,18 @@ def land_documents(documents: DataFrame, landing: str, prefix: str = "neo") -> N
 def list_objects(spark: SparkSession, landing: str) -> DataFrame:
     """All objects below a directory: `file_path`, `object_name`, `landed_at`.
 
-    Only file metadata is asked for, so no content is read.
+    Only file metadata is asked for, so no content is read. A directory that does not exist
+    yet holds no objects.
     """
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(landing)
-        .select(*_origin())
-    )
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    try:
+        files = reader.load(landing)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        schema = "file_path STRING, object_name STRING, landed_at TIMESTAMP"
+        return spark.createDataFrame([], schema)
+    return files.select(*_origin())
 
 
 def read_documents(spark: SparkSession, landing: str, modified_after: str | None = None) -> DataFrame:

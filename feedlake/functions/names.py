@@ -7,16 +7,14 @@ from pyspark.sql import functions as F
 
 from feedlake.functions.convert import iso_date
 
-# The start day stands before "_", the end day before ".".
-DAY_PATTERN = r"(\d{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01]))"
+# The start day stands before "_", the end day before ".". There is no year 0.
+DAY_PATTERN = r"((?!0000)\d{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01]))"
 START_PATTERN = DAY_PATTERN + "_"
 END_PATTERN = DAY_PATTERN + r"\."
 
 
 def _first_day(name: Column, pattern: str) -> Column:
-    day = F.try_to_date(F.regexp_extract(name, pattern, 1))
-    # Spark knows a year 0, the calendar of the names does not
-    return F.when(F.year(day) >= 1, day)
+    return F.try_to_date(F.regexp_extract(name, pattern, 1))
 
 
 def start_of(name: Column) -> Column:

@@ -33,12 +33,13 @@ def _day(value: date | Column) -> Column:
 def ranges_in_names(objects: DataFrame) -> DataFrame:
     """`object_name` -> `start_date`, `end_date`; both NULL for a name that has no range."""
     name = F.col("object_name")
-    readable = names.start_of(name).isNotNull() & names.end_of(name).isNotNull()
-    return objects.withColumns(
-        {
-            "start_date": F.when(readable, names.start_of(name)),
-            "end_date": F.when(readable, names.end_of(name)),
-        }
+    found = F.struct(names.start_of(name).alias("_start"), names.end_of(name).alias("_end"))
+    readable = F.col("_start").isNotNull() & F.col("_end").isNotNull()
+    # behind a generator the name is searched once, not for every later use of a date
+    return objects.select("*", F.inline(F.array(found))).select(
+        *objects.columns,
+        F.when(readable, F.col("_start")).alias("start_date"),
+        F.when(readable, F.col("_end")).alias("end_date"),
     )
 
 

@@ -41,7 +41,9 @@ def merge_key_violations(target: DataFrame, source: DataFrame, keys: Sequence[st
     return repeated.join(hit, keys, "left_semi")
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_upsert(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], unique_source: bool = False
+) -> DataFrame:
     """The target after merging the source into it, in target column order.
 
     - matched: all non-key source columns overwrite, with NULL too; other columns stay
@@ -49,6 +51,9 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     - target rows without a match are kept
     - a NULL key never matches: such rows are kept and inserted
     - two source rows for one target row fail the query when it runs
+
+    `unique_source` promises that source keys are neither repeated nor NULL, as after a
+    grouping by them, and saves the passes that look for such rows.
     """
     keys = list(keys)
     unknown = [c for c in source.columns if c not in target.columns]
@@ -58,31 +63,34 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     source = source.select(*[F.col(c).cast(types[c]).alias(c) for c in source.columns])
     values = [c for c in source.columns if c not in keys]
 
-    keyed = source.filter(has_key(keys))
-    known = (
-        target.select(*keys)
-        .join(keyed.select(*keys).distinct(), keys, "left_semi")
-        .distinct()
-    )
-    inserted = keyed.join(known, keys, "left_anti").unionByName(source.filter(~has_key(keys)))
-    updated = _overwrite(target, keyed, keys, values) if values else target
-    return updated.unionByName(inserted, allowMissingColumns=True)
+    keyed = source if unique_source else source.filter(has_key(keys))
+    incoming_keys = keyed.select(*keys) if unique_source else keyed.select(*keys).distinct()
+    known = target.select(*keys).join(incoming_keys, keys, "left_semi").distinct()
+    inserted = keyed.join(known, keys, "left_anti")
+    if not unique_source:
+        inserted = inserted.unionByName(source.filter(~has_key(keys)))
+    if values:
+        target = _overwrite(target, keyed, keys, values, unique_source)
+    return target.unionByName(inserted, allowMissingColumns=True)
 
 
 def _overwrite(
-    target: DataFrame, keyed: DataFrame, keys: list[str], values: list[str]
+    target: DataFrame, keyed: DataFrame, keys: list[str], values: list[str], unique_source: bool
 ) -> DataFrame:
-    repeated = repeated_keys(keyed, keys).select(*keys, F.lit(True).alias("_repeated"))
-    incoming = keyed.join(repeated, keys, "left").select(
-        *[F.col(c).alias(f"_source_{c}") for c in keyed.columns],
-        F.lit(True).alias("_present"),
-        "_repeated",
-    )
+    marks = [F.lit(True).alias("_present")]
+    incoming = keyed
+    if not unique_source:
+        repeated = repeated_keys(keyed, keys).select(*keys, F.lit(True).alias("_repeated"))
+        incoming = keyed.join(repeated, keys, "left")
+        marks.append(F.col("_repeated"))
+    incoming = incoming.select(*[F.col(c).alias(f"_source_{c}") for c in keyed.columns], *marks)
     same_key = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_source_{k}") for k in keys])
     joined = target.join(incoming, same_key, "left")
-    # in a filter and not in a column, so that pruning never drops the check
-    single = F.when(F.col("_repeated"), F.raise_error(DUPLICATE_MATCH).cast("boolean")).otherwise(True)
-    return joined.filter(single).select(
+    if not unique_source:
+        # in a filter and not in a column, so that pruning never drops the check
+        error = F.raise_error(DUPLICATE_MATCH).cast("boolean")
+        joined = joined.filter(F.when(F.col("_repeated"), error).otherwise(True))
+    return joined.select(
         *[
             F.when(F.col("_present"), F.col(f"_source_{c}")).otherwise(F.col(c)).alias(c)
             if c in values
@@ -100,6 +108,7 @@ def upsert_table(
     partition_by: str = "observation_date",
     grain: str = tables.DAY,
     cache: bool = True,
+    unique_source: bool = False,
 ) -> list | None:
     """Create the table from the source, or merge the source into the partitions it touches.
 
@@ -108,17 +117,18 @@ def upsert_table(
     mention need neither be read nor written. `grain` counts at creation only.
 
     `cache` keeps the source while it is passed several times; switch it off for a source
-    that is as cheap to read again, such as a stored table.
+    that is as cheap to read again, such as a stored table. `unique_source`: see
+    `merge_upsert`.
     """
     if partition_by not in keys:
         raise ValueError(f"partition column {partition_by} must be one of the keys {list(keys)}")
-    if not tables.table_exists(spark, table):
+    target = tables.open_table(spark, table)
+    if target is None:
         tables.create_table(source, table, partition_by, grain)
         return None
     if tables.has_row_level_catalog(spark, table):
         merge_into(source, table, keys)
         return None
-    target = tables.read_table(spark, table)
     grain = tables.grain_of(target.columns, partition_by)
     column = tables.partition_column(partition_by, grain)
     if cache:
@@ -132,7 +142,7 @@ def upsert_table(
             target = target.filter(_among(column, touched))
             if column != partition_by:
                 target = target.drop(column)
-            merged = merge_upsert(target, source, keys)
+            merged = merge_upsert(target, source, keys, unique_source)
             tables.overwrite_partitions(merged, table, partition_by, grain)
         return touched
     finally:

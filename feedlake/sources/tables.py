@@ -58,17 +58,22 @@ def create_namespace(spark: SparkSession, name: str, location: str | None = None
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
 
 
-def table_exists(spark: SparkSession, table: str) -> bool:
+def open_table(spark: SparkSession, table: str) -> DataFrame | None:
+    """The table, or None when it does not exist; lists its files once."""
     if not is_path(table):
-        return spark.catalog.tableExists(table)
+        return spark.table(table) if spark.catalog.tableExists(table) else None
     try:
-        return bool(spark.read.parquet(table).columns)
+        return spark.read.parquet(table)
     except AnalysisException as missing:
         if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
+            return None
         raise
 
 
+def table_exists(spark: SparkSession, table: str) -> bool:
+    return open_table(spark, table) is not None
+
+
 def read_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.parquet(table) if is_path(table) else spark.table(table)
 

@@ -2,8 +2,9 @@
 
 A full outer join would shuffle the whole target, could not be broadcast and could not be
 split when a key is hot. The merge is therefore put together from joins that keep the large
-side on the left, where adaptive execution can split it, and the increment on the right,
-where it becomes a broadcast once its measured size is below the session's threshold.
+side on the left: a small increment is broadcast and the target is not shuffled at all, and
+with a large one adaptive execution can split a hot key. Keys are reduced before they are
+compared, and NULL keys, which match nothing, take part in no join.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 from feedlake.sources import tables
 
 DUPLICATE_MATCH = "a target row is matched by more than one source row"
+# Rows of an increment that may be broadcast: some 30 MB of silver rows.
+BROADCAST_ROWS = 100_000
 
 
 def has_key(keys: Sequence[str]) -> Column:
@@ -36,13 +39,15 @@ def repeated_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
 def merge_key_violations(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Repeated source keys that match a target row: `merge_upsert` would fail on them."""
     keys = list(keys)
-    repeated = repeated_keys(source, keys)
-    hit = target.select(*keys).join(repeated, keys, "left_semi").distinct()
-    return repeated.join(hit, keys, "left_semi")
+    return repeated_keys(source, keys).join(target.select(*keys).distinct(), keys, "left_semi")
 
 
 def merge_upsert(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], unique_source: bool = False
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    unique_source: bool = False,
+    small_source: bool = False,
 ) -> DataFrame:
     """The target after merging the source into it, in target column order.
 
@@ -53,7 +58,8 @@ def merge_upsert(
     - two source rows for one target row fail the query when it runs
 
     `unique_source` promises that source keys are neither repeated nor NULL, as after a
-    grouping by them, and saves the passes that look for such rows.
+    grouping by them, and saves the passes that look for such rows. `small_source` tells that
+    the source has been counted and may be broadcast.
     """
     keys = list(keys)
     unknown = [c for c in source.columns if c not in target.columns]
@@ -64,26 +70,38 @@ def merge_upsert(
     values = [c for c in source.columns if c not in keys]
 
     keyed = source if unique_source else source.filter(has_key(keys))
-    incoming_keys = keyed.select(*keys) if unique_source else keyed.select(*keys).distinct()
-    known = target.select(*keys).join(incoming_keys, keys, "left_semi").distinct()
-    inserted = keyed.join(known, keys, "left_anti")
-    if not unique_source:
-        inserted = inserted.unionByName(source.filter(~has_key(keys)))
+    merged = target
     if values:
-        target = _overwrite(target, keyed, keys, values, unique_source)
-    return target.unionByName(inserted, allowMissingColumns=True)
+        incoming = _incoming(keyed, keys, unique_source)
+        incoming = F.broadcast(incoming) if small_source else _own_exchange(incoming, unique_source)
+        updated = _overwrite(target.filter(has_key(keys)), incoming, keys, values, unique_source)
+        merged = updated.unionByName(target.filter(~has_key(keys)))
+    new = _unmatched(target, keyed, keys, unique_source, small_source)
+    if not unique_source:
+        new = new.unionByName(source.filter(~has_key(keys)))
+    return merged.unionByName(new, allowMissingColumns=True)
 
 
-def _overwrite(
-    target: DataFrame, keyed: DataFrame, keys: list[str], values: list[str], unique_source: bool
-) -> DataFrame:
+def _own_exchange(rows: DataFrame, already: bool = False) -> DataFrame:
+    """Adaptive execution splits a hot key only where both inputs of a join come straight from
+    a shuffle, not from an aggregate or join that happens to be partitioned alike."""
+    return rows if already else rows.hint("rebalance")
+
+
+def _incoming(keyed: DataFrame, keys: list[str], unique_source: bool) -> DataFrame:
     marks = [F.lit(True).alias("_present")]
-    incoming = keyed
     if not unique_source:
         repeated = repeated_keys(keyed, keys).select(*keys, F.lit(True).alias("_repeated"))
-        incoming = keyed.join(repeated, keys, "left")
+        rows = keyed.join(_own_exchange(repeated), keys, "left")
         marks.append(F.col("_repeated"))
-    incoming = incoming.select(*[F.col(c).alias(f"_source_{c}") for c in keyed.columns], *marks)
+    else:
+        rows = keyed
+    return rows.select(*[F.col(c).alias(f"_source_{c}") for c in keyed.columns], *marks)
+
+
+def _overwrite(
+    target: DataFrame, incoming: DataFrame, keys: list[str], values: list[str], unique_source: bool
+) -> DataFrame:
     same_key = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_source_{k}") for k in keys])
     joined = target.join(incoming, same_key, "left")
     if not unique_source:
@@ -100,6 +118,19 @@ def _overwrite(
     )
 
 
+def _unmatched(
+    target: DataFrame, keyed: DataFrame, keys: list[str], unique_source: bool, small_source: bool
+) -> DataFrame:
+    """Source rows whose key the target lacks."""
+    held = target.select(*keys)
+    asked = keyed.select(*keys) if unique_source else keyed.select(*keys).distinct()
+    if small_source:
+        known = F.broadcast(held.join(F.broadcast(asked), keys, "left_semi").distinct())
+    else:
+        known = _own_exchange(held.distinct().join(asked, keys, "left_semi"))
+    return keyed.join(known, keys, "left_anti")
+
+
 def upsert_table(
     spark: SparkSession,
     source: DataFrame,
@@ -136,13 +167,18 @@ def upsert_table(
     try:
         # One value per partition of the increment: the driver holds as many anyway as
         # directories of the table, and only literal values prune the scan at planning.
-        values = source.select(tables.partition_value(partition_by, grain)).distinct()
-        touched = [row[0] for row in values.collect()]
+        counted = (
+            source.groupBy(tables.partition_value(partition_by, grain).alias("part"))
+            .agg(F.count("*").alias("n"))
+            .collect()
+        )
+        touched = [row.part for row in counted]
+        small = sum(row.n for row in counted) <= BROADCAST_ROWS
         if touched:
             target = target.filter(_among(column, touched))
             if column != partition_by:
                 target = target.drop(column)
-            merged = merge_upsert(target, source, keys, unique_source)
+            merged = merge_upsert(target, source, keys, unique_source, small)
             tables.overwrite_partitions(merged, table, partition_by, grain)
         return touched
     finally:

@@ -104,41 +104,40 @@ def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`start_date`, `end_date`, `document` (JSON text).
 
     Documents stay near DOCUMENT_ROWS approaches however the data is distributed: a week is
-    cut into as many parts as its row count asks for, and an order with many lineitems is cut
-    into pieces. Pieces are drawn from row ids given at the scan, which a repeated task gives
-    again, so copies of one row spread as well as different rows do. All three levels of
-    nesting group within one exchange on (week, part).
+    cut into as many parts as its row count asks for, and where one of its orders has many
+    lineitems, orders are cut into pieces. Pieces are drawn from row ids given at the scan,
+    which a repeated task gives again, so copies of one row spread as well as different rows
+    do. The wide join reads both tables straight from a shuffle, which lets adaptive execution
+    split a hot order. All three levels of nesting group within one exchange on (week, part).
     """
     lineitem = table(spark, sf_dir, "lineitem")
-    sized = (
+    placed = (
         orders(spark, sf_dir)
         .select(*ORDER_FIELDS, F.monotonically_increasing_id().alias("o_id"))
-        .join(
-            lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("lines")),
-            "o_orderkey",
-            "left",
-        )
         .withColumn("week", week_of(F.col("day")))
     )
-    # one row per calendar week, and dates end with the year 9999: 8 MB at the very most
-    parts = F.broadcast(
-        sized.groupBy("week").agg(
-            F.ceil(F.sum(F.coalesce("lines", F.lit(1))) / DOCUMENT_ROWS).alias("parts")
+    counts = lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("lines"))
+    # one row per calendar week, and dates end with the year 9999: 12 MB at the very most
+    weeks = F.broadcast(
+        placed.join(counts, "o_orderkey", "left")
+        .groupBy("week")
+        .agg(
+            F.ceil(F.sum(F.coalesce("lines", F.lit(1))) / DOCUMENT_ROWS).alias("parts"),
+            F.ceil(F.coalesce(F.max("lines"), F.lit(1)) / ORDER_ROWS).alias("pieces"),
         )
     )
-    placed = sized.join(parts, "week")
     lines = lineitem.select(
         F.col("l_orderkey").alias("o_orderkey"),
         *LINE_FIELDS,
         F.monotonically_increasing_id().alias("l_id"),
     )
-    with_lines = placed.filter(F.col("lines").isNotNull()).join(lines, "o_orderkey").withColumn(
-        "piece", F.pmod(F.xxhash64("l_id"), F.ceil(F.col("lines") / ORDER_ROWS))
-    )
-    without = placed.filter(F.col("lines").isNull()).withColumn("piece", F.lit(0))
+    with_lines = placed.join(lines, "o_orderkey")
+    without = placed.join(counts, "o_orderkey", "left_anti")
+    piece = F.pmod(F.xxhash64("l_id"), F.col("pieces"))
     rows = (
         with_lines.unionByName(without, allowMissingColumns=True)
-        .withColumn("part", F.pmod(F.xxhash64("o_id", "piece"), F.col("parts")))
+        .join(weeks, "week")
+        .withColumn("part", F.pmod(F.xxhash64("o_id", piece), F.col("parts")))
         .select("week", "part", *ORDER_FIELDS, *LINE_FIELDS)
         .repartition("week", "part")
     )

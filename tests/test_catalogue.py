@@ -7,9 +7,6 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from feedlake.operators.flatten import flatten
-from feedlake.plans import synthetic
-from feedlake.sources.documents import parse_documents
 
 QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 
@@ -44,17 +41,3 @@ def test_every_query_has_an_oracle():
 
 def test_entry(spark):
     assert contract.entry(spark).columns == ["observation_date", "name", "velocity_kps", "miss_distance_ld"]
-
-
-def test_a_hot_order_does_not_make_a_large_document(spark, sf_dir, tmp_path):
-    """A third of all lineitems, copies of one row, belong to one order."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    hot = lines.filter("l_orderkey is not null").limit(1).crossJoin(spark.range(lines.count() // 2).drop("id"))
-    lines.unionByName(hot).write.parquet(f"{tmp_path}/lineitem.parquet")
-    spark.read.parquet(f"{sf_dir}/orders.parquet").write.parquet(f"{tmp_path}/orders.parquet")
-    documents = synthetic.feed_documents(spark, str(tmp_path)).persist()
-    found = flatten(parse_documents(documents))
-    assert found.count() == lines.count() * 3 // 2
-    longest = max(len(r.document) for r in documents.select("document").collect())
-    assert longest < 4 * synthetic.DOCUMENT_ROWS * 1000
-    documents.unpersist()

@@ -162,6 +162,8 @@ def upsert_table(
         return None
     grain = tables.grain_of(target.columns, partition_by)
     column = tables.partition_column(partition_by, grain)
+    # a path whose only partition is NULL does not tell that its partitions are dates
+    target = target.withColumn(column, F.col(column).cast("date"))
     if cache:
         source = source.persist()
     try:

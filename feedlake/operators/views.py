@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from feedlake.functions.convert import is_finite
@@ -74,3 +74,12 @@ def velocity_histogram(gold: DataFrame, day: date, bins: int = 10) -> DataFrame:
 def load_counts(silver: DataFrame) -> DataFrame:
     """Rows per day, for the load audit."""
     return silver.groupBy("observation_date").agg(F.count("*").alias("row_count"))
+
+
+def counted(rows: DataFrame, name: str = "load") -> tuple[DataFrame, Observation]:
+    """The same rows, counted while some later action runs over all of them.
+
+    Read `row_count` from the observation after that action; no second job is needed.
+    """
+    observation = Observation(name)
+    return rows.observe(observation, F.count(F.lit(1)).alias("row_count")), observation

@@ -120,7 +120,11 @@ def create_table(rows: DataFrame, table: str, partition_by: str, grain: str = DA
         .options(**DYNAMIC)
         .partitionBy(partition_column(partition_by, grain))
     )
-    writer.save(table) if is_path(table) else writer.saveAsTable(table)
+    if is_path(table):
+        # a load without rows leaves a path without files, which still counts as absent
+        writer.mode("append").save(table)
+    else:
+        writer.saveAsTable(table)
 
 
 def overwrite_partitions(rows: DataFrame, table: str, partition_by: str, grain: str = DAY) -> None:

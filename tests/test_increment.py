@@ -93,6 +93,10 @@ def test_only_rejects(lake):
     land(lake.landing, WEEK1, "[]")
     lake.stream()
     assert [r[0] for r in lake.rejected()] == ["malformed"]
+    land(lake.landing, WEEK2, week("2025-05-08", "1"))
+    lake.stream()
+    assert lake.silver() == [("2025-05-08", "1", 1.0)]
+    assert len(lake.rejected()) == 1
 
 
 def test_newest_file_wins_within_a_batch(lake):

@@ -61,6 +61,12 @@ def test_null_partition_is_found_again(spark, table):
     assert stored(spark, table) == expected((None, 1, "a"), (None, 1, "b"), (D1, 1, "a"))
 
 
+def test_only_a_null_partition(spark, table):
+    for value in ("a", "b"):
+        upsert_table(spark, frame(spark, [(None, 1, value)]), table, ["d", "k"], "d")
+    assert stored(spark, table) == expected((None, 1, "a"), (None, 1, "b"))
+
+
 def test_first_load_keeps_repeated_keys(spark, table):
     upsert_table(spark, frame(spark, [(D1, 1, "a"), (D1, 1, "b")]), table, ["d", "k"], "d")
     upsert_table(spark, frame(spark, [(D1, 1, "c")]), table, ["d", "k"], "d")

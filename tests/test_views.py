@@ -4,7 +4,14 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from feedlake.operators.views import date_bounds, histogram, load_counts, miss_distances, velocity_histogram
+from feedlake.operators.views import (
+    counted,
+    date_bounds,
+    histogram,
+    load_counts,
+    miss_distances,
+    velocity_histogram,
+)
 from feedlake.sources import tables
 
 DAY = date(2025, 5, 1)
@@ -35,6 +42,19 @@ def test_bounds_and_series(spark):
     }
 
 
+def test_rows_are_counted_while_they_are_written(spark, tmp_path):
+    rows, seen = counted(gold(spark))
+    tables.create_table(rows, f"{tmp_path}/gold", "observation_date")
+    assert seen.get == {"row_count": 4}
+
+
+def test_histogram_scans_for_its_bounds_once(spark):
+    found = histogram(gold(spark), "velocity_kps")
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("functions=[min(") // 2 <= 1 or "ReusedSubquery" in plan
+
+
 def test_histogram_of_one_day(spark):
     found = velocity_histogram(gold(spark), DAY)
     assert counts(found) == [1, 1, 0, 0, 0, 0, 0, 0, 0, 1]

@@ -26,15 +26,14 @@ def land_documents(documents: DataFrame, landing: str, prefix: str = "neo") -> N
     """Append raw documents (`document`, `start_date`, `end_date`) unchanged.
 
     The range goes into the directory name, in the form objects landed by others use for
-    their file name, so one parser serves both. The rebalance hint keeps files few per range
-    and lets adaptive execution split a range that holds most of the data.
+    their file name, so one parser serves both. Documents are wide and stay where they are:
+    each task writes one file per range it holds.
     """
     (
         documents.select(
             F.col("document").alias("value"),
             names.file_name(F.col("start_date"), F.col("end_date"), prefix).alias("object_name"),
         )
-        .hint("rebalance", "object_name")
         .write.mode("append")
         .partitionBy("object_name")
         .option("lineSep", RECORD_SEPARATOR)

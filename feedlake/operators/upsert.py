@@ -14,12 +14,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedlake.sources import tables
 
 DUPLICATE_MATCH = "a target row is matched by more than one source row"
-# Rows of an increment that may be broadcast: some 30 MB of silver rows.
-BROADCAST_ROWS = 100_000
+# Measured size up to which an increment is broadcast.
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def has_key(keys: Sequence[str]) -> Column:
@@ -59,7 +60,7 @@ def merge_upsert(
 
     `unique_source` promises that source keys are neither repeated nor NULL, as after a
     grouping by them, and saves the passes that look for such rows. `small_source` tells that
-    the source has been counted and may be broadcast.
+    the source has been measured and may be broadcast.
     """
     keys = list(keys)
     unknown = [c for c in source.columns if c not in target.columns]
@@ -171,11 +172,11 @@ def upsert_table(
         # directories of the table, and only literal values prune the scan at planning.
         counted = (
             source.groupBy(tables.partition_value(partition_by, grain).alias("part"))
-            .agg(F.count("*").alias("n"))
+            .agg(F.sum(_row_bytes(source)).alias("bytes"))
             .collect()
         )
         touched = [row.part for row in counted]
-        small = sum(row.n for row in counted) <= BROADCAST_ROWS
+        small = sum(row.bytes for row in counted) <= BROADCAST_BYTES
         if touched:
             target = target.filter(_among(column, touched))
             if column != partition_by:
@@ -188,6 +189,19 @@ def upsert_table(
             source.unpersist()
 
 
+def _row_bytes(rows: DataFrame) -> Column:
+    """Size of a row: the text it holds and 16 bytes a field."""
+    width = F.lit(16 * len(rows.columns))
+    for field in rows.schema.fields:
+        value = F.col(field.name)
+        if not isinstance(field.dataType, (T.AtomicType, T.NullType)):
+            value = F.to_json(F.struct(value))
+        elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            continue
+        width = width + F.coalesce(F.octet_length(value), F.lit(0))
+    return width.cast("bigint")
+
+
 def _among(column: str, days: list) -> Column:
     known = ", ".join(f"DATE '{d.isoformat()}'" for d in days if d is not None)
     among = F.expr(f"`{column}` IN ({known})") if known else F.lit(False)

@@ -21,7 +21,6 @@ from feedlake.sources.documents import (
     valid_documents,
 )
 from feedlake.sources.schemas import (
-    APPROACH_KEYS,
     DATE_COLUMNS,
     DISTANCE_COLUMNS,
     FEED_KEYS,

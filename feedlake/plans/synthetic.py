@@ -60,7 +60,10 @@ def approach() -> Column:
             F.col("l_discount").cast("string").alias("astronomical"),
             (F.col("l_quantity") * F.lit(384400.0)).cast("string").alias("kilometers"),
             F.col("l_extendedprice").cast("string").alias("lunar"),
-            F.when(F.col("l_linestatus") != "O", (F.col("l_extendedprice") / F.lit(1.609344)).cast("string")).alias("miles"),
+            F.when(
+                F.col("l_linestatus") != "O",
+                (F.col("l_extendedprice") / F.lit(1.609344)).cast("string"),
+            ).alias("miles"),
         ).alias("miss_distance"),
         F.lit("Earth").alias("orbiting_body"),
         F.struct(

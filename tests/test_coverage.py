@@ -1,7 +1,6 @@
 from datetime import date, timedelta
 
 import pandas as pd
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -2,7 +2,8 @@ from datetime import date
 
 import pytest
 
-from feedlake.operators.upsert import _among, upsert_table
+from feedlake.operators import upsert
+from feedlake.operators.upsert import _among, _row_bytes, upsert_table
 from feedlake.sources import tables
 
 ROWS = "d date, k int, v string"
@@ -61,6 +62,21 @@ def test_null_partition_is_found_again(spark, table):
     assert stored(spark, table) == expected((None, 1, "a"), (None, 1, "b"), (D1, 1, "a"))
 
 
+@pytest.mark.parametrize("limit", [0, 10**9])
+def test_small_and_large_increments_merge_alike(spark, table, limit, monkeypatch):
+    monkeypatch.setattr(upsert, "BROADCAST_BYTES", limit)
+    upsert_table(spark, frame(spark, [(D1, 1, "a"), (D3, 1, "a")]), table, ["d", "k"], "d")
+    upsert_table(spark, frame(spark, [(D1, 1, "b"), (D1, 2, "b")]), table, ["d", "k"], "d")
+    assert stored(spark, table) == expected((D1, 1, "b"), (D1, 2, "b"), (D3, 1, "a"))
+
+
+def test_size_of_rows(spark):
+    rows = frame(spark, [(D1, 1, "abc"), (None, None, None)])
+    assert [r[0] for r in rows.select(_row_bytes(rows)).collect()] == [51, 48]
+    wide = frame(spark, [(["x" * 100],)], "a array<string>")
+    assert wide.select(_row_bytes(wide)).head()[0] > 100
+
+
 def test_only_a_null_partition(spark, table):
     for value in ("a", "b"):
         upsert_table(spark, frame(spark, [(None, 1, value)]), table, ["d", "k"], "d")

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm import embedding_dedup, line_dedup, secrets, topk
+from feedlake.llm import classifier, embedding_dedup, html, line_dedup, mixing, near_dup, packing, secrets, topk
+from feedlake.llm.common import id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,6 +52,14 @@ FROM judged GROUP BY doc_id
 """
 
 
+@_query
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    pieces = packing.cut(_table(spark, sf_dir, "documents"))
+    out = packing.pack(pieces)
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 @_query
 def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best partners of every vector whose id is divisible by 20."""
@@ -72,6 +81,20 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
 
+@_query
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raked weight, probability and draw of every document."""
+    out = mixing.mix_sources(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "selected")
+
+
+@_query
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    out = html.extract(_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", "n_chars")
+
+
 @_query
 def op6_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of cosine 0.95 or more among all vectors, and their components."""
@@ -79,7 +102,24 @@ def op6_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("vec_id", "n_links", "component_id", "kept")
 
 
+@_query
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the rows that are not held out."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = id_remainder("doc_id", 5) == 0
+    model = classifier.fit(docs, labels, "quality", use=~held_out)
+    out = classifier.classify(docs, model, threshold=0.3)
+    return out.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @_query
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of all documents by format and by entropy."""
     return secrets.digest(secrets.scan_secrets(_table(spark, sf_dir, "documents")))
+
+
+@_query
+def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents."""
+    out = near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "class_id", "kept")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm import classifier, embedding_dedup, html, line_dedup, mixing, near_dup, packing, secrets, topk
+from feedlake.llm import classifier, embedding_dedup, html, line_dedup, lm, mixing, near_dup, packing, secrets, topk
 from feedlake.llm.common import id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +102,16 @@ def op6_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("vec_id", "n_links", "component_id", "kept")
 
 
+@_query
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attention and unigram scores of every document; a seventh is held out."""
+    held_out = id_remainder("doc_id", 7) == 2
+    out = lm.score_texts(_table(spark, sf_dir, "documents"), train=~held_out)
+    return out.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @_query
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from the rows that are not held out."""

@@ -31,10 +31,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Bytes of words that only white space parts.
+VISIBLE = np.ones(256, bool)
+VISIBLE[[32, *range(9, 14)]] = False
+
+
 class Hasher:
-    """Powers of the base, as far as they have been needed."""
+    """Hashes words of the given bytes; keeps the powers of the base it has needed."""
 
-    def __init__(self) -> None:
+    def __init__(self, letters: np.ndarray = _LETTER) -> None:
+        self._letters = letters
         self._powers = self._inverse = np.ones(1, np.uint64)
 
     def _grow(self, count: int) -> None:
@@ -46,8 +52,13 @@ class Hasher:
     def words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hash of every word of texts that lie in `data` at `offsets`, and the number of words
         before each text (one entry more than texts)."""
-        hashes, starts = [], []
-        letter = _LETTER[data]
+        hashes, _, _, bounds = self.spans(data, offsets)
+        return hashes, bounds
+
+    def spans(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As `words`, with the start and end of every word in `data` in between."""
+        parts = []
+        letter = self._letters[data]
         at, end = int(offsets[0]), int(offsets[-1])
         while at < end:
             stop = min(end, at + CHUNK)
@@ -59,15 +70,17 @@ class Hasher:
                 else:
                     later = np.flatnonzero(~letter[stop:end])
                     stop = stop + int(later[0]) if len(later) else end
-            first, hashed = self._chunk(data[at:stop], letter[at:stop], offsets[(offsets > at) & (offsets < stop)] - at)
-            starts.append(first + at)
-            hashes.append(hashed)
+            cuts = offsets[(offsets > at) & (offsets < stop)] - at
+            begin, finish, hashed = self._chunk(data[at:stop], letter[at:stop], cuts)
+            parts.append((hashed, begin + at, finish + at))
             at = stop
-        if not hashes:
-            return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-        return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), offsets)
+        if not parts:
+            none = np.zeros(0, np.int64)
+            return np.zeros(0, np.uint64), none, none, np.zeros(len(offsets), np.int64)
+        hashes, starts, stops = (np.concatenate(column) for column in zip(*parts, strict=True))
+        return hashes, starts, stops, np.searchsorted(starts, offsets)
 
-    def _chunk(self, data: np.ndarray, letter: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _chunk(self, data: np.ndarray, letter: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         self._grow(len(data) + 1)
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(np.where(letter, _FOLD[data], np.uint64(0)) * self._powers[: len(data)], out=sums[1:])
@@ -78,7 +91,7 @@ class Hasher:
             begins[cuts] = letter[cuts]
             ends[cuts - 1] = letter[cuts - 1]
         begin, stop = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-        return begin, mix((sums[stop] - sums[begin]) * self._inverse[begin] + (stop - begin).astype(np.uint64))
+        return begin, stop, mix((sums[stop] - sums[begin]) * self._inverse[begin] + (stop - begin).astype(np.uint64))
 
 
 def shingles(words: np.ndarray, bounds: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:

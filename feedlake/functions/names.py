@@ -35,6 +35,11 @@ def object_name(start: Column, end: Column, prefix: str = "neo") -> Column:
     return F.concat(F.lit("bronze/"), file_name(start, end, prefix))
 
 
+def without_part(name: Column) -> Column:
+    """The name without that of a part file, which the writer draws at random."""
+    return F.regexp_replace(name, r"/part-[^/]*$", "")
+
+
 def name_in_path(path: Column) -> Column:
     """The two last path segments, so that days in the path above them do not count.
 

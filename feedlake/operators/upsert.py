@@ -9,7 +9,9 @@ compared, and NULL keys, which match nothing, take part in no join.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import logging
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,11 +20,24 @@ from pyspark.sql import types as T
 
 from feedlake.sources import tables
 
+LOG = logging.getLogger(__name__)
 DUPLICATE_MATCH = "a target row is matched by more than one source row"
 # Measured size up to which an increment is broadcast.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
+# Of a way to name a row's columns, the value by which the larger of two rows stays.
+Precedence = Callable[[Callable[[str], Column]], Column]
+
+
+@dataclass(frozen=True)
+class Load:
+    """What a load did: rows of the increment, partitions it touched (None: created the table)."""
+
+    rows: int
+    partitions: list | None
+
+
 def has_key(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
@@ -49,6 +64,7 @@ def merge_upsert(
     keys: Sequence[str],
     unique_source: bool = False,
     small_source: bool = False,
+    precedence: Precedence | None = None,
 ) -> DataFrame:
     """The target after merging the source into it, in target column order.
 
@@ -57,6 +73,7 @@ def merge_upsert(
     - target rows without a match are kept
     - a NULL key never matches: such rows are kept and inserted
     - two source rows for one target row fail the query when it runs
+    - with `precedence`, a match overwrites only if the source row is not the smaller one
 
     `unique_source` promises that source keys are neither repeated nor NULL, as after a
     grouping by them, and saves the passes that look for such rows. `small_source` tells that
@@ -75,7 +92,7 @@ def merge_upsert(
     if values:
         incoming = _incoming(keyed, keys, unique_source)
         incoming = F.broadcast(incoming) if small_source else _own_exchange(incoming, unique_source)
-        updated = _overwrite(target.filter(has_key(keys)), incoming, keys, values, unique_source)
+        updated = _overwrite(target.filter(has_key(keys)), incoming, keys, values, unique_source, precedence)
         merged = updated.unionByName(target.filter(~has_key(keys)))
     new = _unmatched(target, keyed, keys, unique_source, small_source)
     if not unique_source:
@@ -101,7 +118,12 @@ def _incoming(keyed: DataFrame, keys: list[str], unique_source: bool) -> DataFra
 
 
 def _overwrite(
-    target: DataFrame, incoming: DataFrame, keys: list[str], values: list[str], unique_source: bool
+    target: DataFrame,
+    incoming: DataFrame,
+    keys: list[str],
+    values: list[str],
+    unique_source: bool,
+    precedence: Precedence | None,
 ) -> DataFrame:
     same_key = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_source_{k}") for k in keys])
     joined = target.join(incoming, same_key, "left")
@@ -109,9 +131,12 @@ def _overwrite(
         # in a filter and not in a column, so that pruning never drops the check
         error = F.raise_error(DUPLICATE_MATCH).cast("boolean")
         joined = joined.filter(F.when(F.col("_repeated"), error).otherwise(True))
+    wins = F.col("_present")
+    if precedence is not None:
+        wins = wins & (precedence(lambda c: F.col(f"_source_{c}")) >= precedence(F.col))
     return joined.select(
         *[
-            F.when(F.col("_present"), F.col(f"_source_{c}")).otherwise(F.col(c)).alias(c)
+            F.when(wins, F.col(f"_source_{c}")).otherwise(F.col(c)).alias(c)
             if c in values
             else F.col(c)
             for c in target.columns
@@ -139,54 +164,58 @@ def upsert_table(
     keys: Sequence[str],
     partition_by: str = "observation_date",
     grain: str = tables.DAY,
-    cache: bool = True,
     unique_source: bool = False,
-) -> list | None:
+    precedence: Precedence | None = None,
+) -> Load:
     """Create the table from the source, or merge the source into the partitions it touches.
 
-    Returns the touched partition values, None after creation. The partition column must be
-    a key: then no row can move to another partition, and partitions the source does not
-    mention need neither be read nor written. `grain` counts at creation only.
+    Returns the rows of the source and the touched partition values, None for these after
+    creation. The partition column must be a key: then no row can move to another partition,
+    and partitions the source does not mention need neither be read nor written. `grain`
+    counts at creation only.
 
-    `cache` keeps the source while it is passed several times; switch it off for a source
-    that is as cheap to read again, such as a stored table. `unique_source`: see
-    `merge_upsert`.
+    The source is passed several times; store one that is costly to make before the call.
+    `unique_source`, `precedence`: see `merge_upsert`. A source without rows is warned of.
     """
     if partition_by not in keys:
         raise ValueError(f"partition column {partition_by} must be one of the keys {list(keys)}")
     target = tables.open_table(spark, table)
     if target is None:
         tables.create_table(source, table, partition_by, grain)
-        return None
-    if tables.has_row_level_catalog(spark, table):
-        merge_into(source, table, keys)
-        return None
-    grain = tables.grain_of(target.columns, partition_by)
-    column = tables.partition_column(partition_by, grain)
-    # a path whose only partition is NULL does not tell that its partitions are dates
-    target = target.withColumn(column, F.col(column).cast("date"))
-    if cache:
-        source = source.persist()
-    try:
-        # One value per partition of the increment: the driver holds as many anyway as
-        # directories of the table, and only literal values prune the scan at planning.
-        counted = (
-            source.groupBy(tables.partition_value(partition_by, grain).alias("part"))
-            .agg(F.sum(_row_bytes(source)).alias("bytes"))
-            .collect()
-        )
-        touched = [row.part for row in counted]
-        small = sum(row.bytes for row in counted) <= BROADCAST_BYTES
-        if touched:
-            target = target.filter(_among(column, touched))
-            if column != partition_by:
-                target = target.drop(column)
-            merged = merge_upsert(target, source, keys, unique_source, small)
-            tables.overwrite_partitions(merged, table, partition_by, grain)
-        return touched
-    finally:
-        if cache:
-            source.unpersist()
+        created = tables.open_table(spark, table)
+        return _reported(Load(0 if created is None else created.count(), None), table)
+    row_level = tables.has_row_level_catalog(spark, table)
+    if not row_level:
+        grain = tables.grain_of(target.columns, partition_by)
+    # One value per partition of the increment: the driver holds as many anyway as
+    # directories of the table, and only literal values prune the scan at planning.
+    parts = (
+        source.groupBy(tables.partition_value(partition_by, grain).alias("part"))
+        .agg(F.sum(_row_bytes(source)).alias("bytes"), F.count("*").alias("rows"))
+        .collect()
+    )
+    load = Load(sum(row.rows for row in parts), [row.part for row in parts])
+    if row_level:
+        merge_into(source, table, keys, precedence)
+    elif parts:
+        column = tables.partition_column(partition_by, grain)
+        # a path whose only partition is NULL does not tell that its partitions are dates
+        target = target.withColumn(column, F.col(column).cast("date"))
+        target = target.filter(_among(column, load.partitions))
+        if column != partition_by:
+            target = target.drop(column)
+        small = sum(row.bytes for row in parts) <= BROADCAST_BYTES
+        merged = merge_upsert(target, source, keys, unique_source, small, precedence)
+        tables.overwrite_partitions(merged, table, partition_by, grain)
+    return _reported(load, table)
+
+
+def _reported(load: Load, table: str) -> Load:
+    if load.rows:
+        LOG.info("%d rows loaded into %s", load.rows, table)
+    else:
+        LOG.warning("no rows to load into %s", table)
+    return load
 
 
 def _row_bytes(rows: DataFrame) -> Column:
@@ -208,7 +237,9 @@ def _among(column: str, days: list) -> Column:
     return among | F.col(column).isNull() if None in days else among
 
 
-def merge_into(source: DataFrame, table: str, keys: Sequence[str]) -> None:
+def merge_into(
+    source: DataFrame, table: str, keys: Sequence[str], precedence: Precedence | None = None
+) -> None:
     """The same merge as one MERGE statement, for catalogs whose tables support it."""
     same_key = reduce(
         lambda a, b: a & b, [F.col(f"{table}.{k}") == F.col(f"source.{k}") for k in keys]
@@ -216,6 +247,9 @@ def merge_into(source: DataFrame, table: str, keys: Sequence[str]) -> None:
     incoming = {c: F.col(f"source.{c}") for c in source.columns}
     updates = {c: v for c, v in incoming.items() if c not in keys}
     merge = source.alias("source").mergeInto(table, same_key)
-    if updates:
+    if updates and precedence is None:
         merge = merge.whenMatched().update(updates)
+    elif updates:
+        wins = precedence(lambda c: F.col(f"source.{c}")) >= precedence(lambda c: F.col(f"{table}.{c}"))
+        merge = merge.whenMatched(wins).update(updates)
     merge.whenNotMatched().insert(incoming).merge()

@@ -12,7 +12,16 @@ from feedlake.sources.tables import DAY, grain_of, partition_column
 
 
 def date_bounds(gold: DataFrame) -> DataFrame:
-    """First and last day, the bounds of a date picker."""
+    """First and last day, the bounds of a date picker.
+
+    Of a table partitioned by month or year only the first and last partition are read: their
+    values come first, from the partition column alone.
+    """
+    grain = grain_of(gold.columns, "observation_date")
+    if grain != DAY:
+        part = partition_column("observation_date", grain)
+        first, last = gold.agg(F.min(part)).scalar(), gold.agg(F.max(part)).scalar()
+        gold = gold.filter((F.col(part) == first) | (F.col(part) == last))
     return gold.agg(
         F.min("observation_date").alias("first_date"), F.max("observation_date").alias("last_date")
     )

@@ -126,6 +126,14 @@ def _histogram(rows: str, bins: int) -> str:
     """
 
 
+def _gold(columns: str) -> str:
+    return f"SELECT {columns} FROM ({SILVER_ONCE})"
+
+
+# Prices of the version of an order that lands last.
+RAISED = "(SELECT * REPLACE (o_totalprice + CASE WHEN o_orderkey % 5 = 0 THEN 5 WHEN o_orderkey % 3 = 0 THEN 3 ELSE 0 END AS o_totalprice) FROM orders) orders"
+DAMAGED_STATUS = "CASE WHEN o_orderkey % 8 IN (2, 6) THEN 'no_days' ELSE 'malformed' END"
+
 VIEW_ROWS = "FROM orders JOIN lineitem ON o_orderkey = l_orderkey"
 VIEW_DAY = "CAST(o_orderdate AS DATE) = DATE '1995-02-18'"
 
@@ -196,6 +204,20 @@ ORACLES = {
         SELECT observation_date, name, velocity_kps, miss_distance_ld, asteroid_id,
                epoch_date_close_approach
         FROM ({SILVER_ONCE})""",
+    "arrival_order": SILVER_ONCE.replace("FROM orders JOIN", f"FROM {RAISED} JOIN"),
+    "rejected_documents": f"""
+        SELECT {DAMAGED_STATUS} AS status, count(*) AS n
+        FROM orders WHERE o_orderkey % 8 <> 0 GROUP BY 1""",
+    "load_report": f"""
+        SELECT CAST(turn AS INTEGER) AS turn, job,
+               CASE WHEN turn = 1 THEN (SELECT count(*) FROM ({SILVER_ONCE})) ELSE 0 END AS row_count
+        FROM range(1, 3) t(turn) CROSS JOIN (VALUES ('silver'), ('gold')) j(job)""",
+    "stored_date_bounds": _gold("min(observation_date) AS first_date, max(observation_date) AS last_date"),
+    "stored_miss_distance": f"""
+        {_gold("name, miss_distance_ld")} WHERE observation_date = DATE '1995-02-18'""",
+    "stored_velocity_histogram": _histogram(
+        _gold("velocity_kps AS v") + " WHERE observation_date = DATE '1995-02-18'", 10
+    ),
     "view_date_bounds": f"""
         SELECT CAST(min(o_orderdate) AS DATE) AS first_date, CAST(max(o_orderdate) AS DATE) AS last_date
         {VIEW_ROWS}""",

@@ -28,8 +28,9 @@ from feedlake.sources.schemas import (
     SILVER_COLUMNS,
     VELOCITY_COLUMNS,
 )
-from feedlake.streaming.increment import pending_objects
+from feedlake.streaming.increment import pending_objects, read_rejected
 
+NAMESPACE = "feedlake_queries"
 CALENDAR = (date(1992, 1, 1), date(2002, 12, 31))
 VIEW_DAY = date(1995, 2, 18)
 
@@ -42,9 +43,12 @@ def _feed(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) ->
 
 
 def feed_explode_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days and asteroids, each once, however many pieces an order with many lines is cut into."""
     feed = _feed(spark, sf_dir, ["asteroid_id"])
-    return explode_asteroids(explode_days(feed)).select(
-        "observation_date", F.col("asteroid.id").alias("asteroid_id")
+    return (
+        explode_asteroids(explode_days(feed))
+        .select("observation_date", F.col("asteroid.id").alias("asteroid_id"))
+        .distinct()
     )
 
 
@@ -169,14 +173,14 @@ def upsert_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_create(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An absent table is created from the source, then merged into by the same call."""
-    place = tables.scratch(spark, "created")
-    namespace = place.rsplit("/", 1)[1].replace("-", "_")
-    tables.create_namespace(spark, namespace, place)
-    table = f"{namespace}.orders"
+    table = f"{NAMESPACE}.orders"
+    tables.create_namespace(spark, NAMESPACE, tables.scratch(spark, "created"))
+    # an earlier run's table goes, and so does its entry in the catalog
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
     keys = ["day", "o_orderkey"]
     upsert_table(spark, _target(spark, sf_dir), table, keys, "day", tables.YEAR)
     raised = _target(spark, sf_dir).withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    upsert_table(spark, raised, table, keys, "day", cache=False)
+    upsert_table(spark, raised, table, keys, "day")
     return tables.read_table(spark, table).select(*synthetic.ORDER_FIELDS)
 
 
@@ -210,7 +214,7 @@ def pending(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     returned = synthetic.table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
     objects = synthetic.table(spark, sf_dir, "orders").select(named("o_orderkey"))
-    return pending_objects(objects, returned.select(named("l_orderkey")), "object_name")
+    return pending_objects(objects, returned.select(named("l_orderkey")), ["object_name"])
 
 
 def _landed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
@@ -246,23 +250,86 @@ def layers_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, gold).select(*jobs.GOLD_TABLE_COLUMNS)
 
 
+def arrival_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges landed again in two steps with other prices; the last landed version stays."""
+    root, landing = _landed(spark, sf_dir)
+    load = (landing, f"{root}/silver", f"{root}/rejected", f"{root}/ledger", "same label", tables.MONTH)
+    jobs.bronze_to_silver(spark, *load)
+    for raised in (3, 5):
+        land_documents(synthetic.feed_documents(spark, sf_dir, raised), landing)
+    jobs.bronze_to_silver(spark, *load)
+    return tables.read_table(spark, f"{root}/silver").select(*SILVER_COLUMNS)
+
+
+def rejected_by_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects of two loads under one label, the second of which is repeated."""
+    root = tables.scratch(spark, "rejects")
+    how = F.col("o_orderkey") % 8
+    damaged = synthetic.order_documents(spark, sf_dir).select(
+        how.alias("how"), _damaged(F.col("document"), how).alias("document"),
+        F.lit(CALENDAR[0]).alias("start_date"), F.lit(CALENDAR[1]).alias("end_date"),
+    )
+    for step, ledger in ((F.col("how") < 4, "ledger"), (F.col("how") >= 4, "ledger"), (F.lit(False), "lost")):
+        land_documents(damaged.filter(step), f"{root}/bronze")
+        jobs.bronze_to_silver(
+            spark, f"{root}/bronze", f"{root}/silver", f"{root}/rejected", f"{root}/{ledger}", "label"
+        )
+    rejected = read_rejected(spark, f"{root}/rejected")
+    return rejected.groupBy("status").agg(F.count("*").alias("n"))
+
+
+def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows each job says it has loaded; the second round finds nothing new."""
+    root, landing = _landed(spark, sf_dir)
+    rows = []
+    for turn in (1, 2):
+        silver = jobs.bronze_to_silver(
+            spark, landing, f"{root}/silver", f"{root}/rejected", f"{root}/ledger", "report", tables.MONTH
+        )
+        gold = jobs.silver_to_gold(spark, f"{root}/silver", f"{root}/gold", silver.partitions, tables.MONTH)
+        rows += [(turn, "silver", silver.rows), (turn, "gold", gold.rows)]
+    return spark.createDataFrame(rows, "turn INT, job STRING, row_count BIGINT")
+
+
 # -- views ------------------------------------------------------------------------------
 
 
+def _gold(spark: SparkSession, sf_dir: str) -> str:
+    """A gold table written by the jobs, partitioned by month."""
+    root, landing = _landed(spark, sf_dir)
+    jobs.bronze_to_silver(
+        spark, landing, f"{root}/silver", f"{root}/rejected", f"{root}/ledger", "views", tables.MONTH
+    )
+    jobs.silver_to_gold(spark, f"{root}/silver", f"{root}/gold", grain=tables.MONTH)
+    return f"{root}/gold"
+
+
+def stored_date_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.gold_views(spark, _gold(spark, sf_dir), VIEW_DAY)["bounds"]
+
+
+def stored_miss_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.gold_views(spark, _gold(spark, sf_dir), VIEW_DAY)["miss_distances"]
+
+
+def stored_velocity_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.gold_views(spark, _gold(spark, sf_dir), VIEW_DAY)["velocities"]
+
+
 def view_date_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.date_bounds(synthetic.gold_rows(spark, sf_dir))
+    return views.date_bounds(synthetic.approach_rows(spark, sf_dir))
 
 
 def view_miss_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.miss_distances(synthetic.gold_rows(spark, sf_dir), VIEW_DAY)
+    return views.miss_distances(synthetic.approach_rows(spark, sf_dir), VIEW_DAY)
 
 
 def view_velocity_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.velocity_histogram(synthetic.gold_rows(spark, sf_dir), VIEW_DAY)
+    return views.velocity_histogram(synthetic.approach_rows(spark, sf_dir), VIEW_DAY)
 
 
 def histogram_all_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.histogram(synthetic.gold_rows(spark, sf_dir), "miss_distance_ld", 25)
+    return views.histogram(synthetic.approach_rows(spark, sf_dir), "miss_distance_ld", 25)
 
 
 CATALOGUE = {
@@ -286,6 +353,12 @@ CATALOGUE = {
     "landed_objects": landed_objects,
     "stream_increment": stream_increment,
     "layers_to_gold": layers_to_gold,
+    "arrival_order": arrival_order,
+    "rejected_documents": rejected_by_two_loads,
+    "load_report": load_report,
+    "stored_date_bounds": stored_date_bounds,
+    "stored_miss_distance": stored_miss_distance,
+    "stored_velocity_histogram": stored_velocity_histogram,
     "view_date_bounds": view_date_bounds,
     "view_miss_distance": view_miss_distance,
     "view_velocity_histogram": view_velocity_histogram,

@@ -33,8 +33,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").withColumn("day", F.col("o_orderdate").cast("date"))
+def orders(spark: SparkSession, sf_dir: str, raised: int | None = None) -> DataFrame:
+    """All orders; with `raised`, those whose key it divides, at a price higher by it."""
+    rows = table(spark, sf_dir, "orders").withColumn("day", F.col("o_orderdate").cast("date"))
+    if raised is None:
+        return rows
+    rows = rows.filter(F.col("o_orderkey") % raised == 0)
+    return rows.withColumn("o_totalprice", F.col("o_totalprice") + raised)
 
 
 def week_of(day: Column) -> Column:
@@ -103,8 +108,8 @@ def asteroid(approaches: Column) -> Column:
     )
 
 
-def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`start_date`, `end_date`, `document` (JSON text).
+def feed_documents(spark: SparkSession, sf_dir: str, raised: int | None = None) -> DataFrame:
+    """`start_date`, `end_date`, `document` (JSON text) of all orders, or of `raised` ones.
 
     Documents stay near DOCUMENT_ROWS approaches however the data is distributed: a week is
     cut into as many parts as its row count asks for, and where one of its orders has many
@@ -115,7 +120,7 @@ def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     lineitem = table(spark, sf_dir, "lineitem")
     placed = (
-        orders(spark, sf_dir)
+        orders(spark, sf_dir, raised)
         .select(*ORDER_FIELDS, F.monotonically_increasing_id().alias("o_id"))
         .withColumn("week", week_of(F.col("day")))
     )
@@ -171,8 +176,11 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def gold_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the gold table holds once the feed is loaded, straight from the order tables."""
+def approach_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every approach in the columns of gold, straight from the order tables.
+
+    The gold table itself has fewer rows, as approaches of one key are merged there.
+    """
     return (
         orders(spark, sf_dir)
         .join(table(spark, sf_dir, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))

@@ -15,7 +15,7 @@ from feedlake.functions import names
 from feedlake.sources.schemas import feed_ddl
 
 RECORD_SEPARATOR = "\u001e"
-VALID, MALFORMED, NO_DAYS = "valid", "malformed", "no_days"
+VALID, MALFORMED, NO_DAYS, EMPTY = "valid", "malformed", "no_days", "empty"
 
 
 class RejectedDocuments(ValueError):
@@ -26,14 +26,16 @@ def land_documents(documents: DataFrame, landing: str, prefix: str = "neo") -> N
     """Append raw documents (`document`, `start_date`, `end_date`) unchanged.
 
     The range goes into the directory name, in the form objects landed by others use for
-    their file name, so one parser serves both. Documents are wide and stay where they are:
-    each task writes one file per range it holds.
+    their file name, so one parser serves both. Rows are brought together by range first, small
+    ranges sharing a task and large ones split by adaptive execution, so files number as the
+    ranges and the bytes ask for and not as tasks times ranges.
     """
     (
         documents.select(
             F.col("document").alias("value"),
             names.file_name(F.col("start_date"), F.col("end_date"), prefix).alias("object_name"),
         )
+        .hint("rebalance", "object_name")
         .write.mode("append")
         .partitionBy("object_name")
         .option("lineSep", RECORD_SEPARATOR)
@@ -45,7 +47,7 @@ def list_objects(spark: SparkSession, landing: str) -> DataFrame:
     """All objects below a directory: `file_path`, `object_name`, `landed_at`.
 
     Only file metadata is asked for, so no content is read. A directory that does not exist
-    yet holds no objects.
+    yet holds no objects. Objects of no bytes are listed as well, though no reader shows them.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     try:
@@ -55,11 +57,44 @@ def list_objects(spark: SparkSession, landing: str) -> DataFrame:
             raise
         schema = "file_path STRING, object_name STRING, landed_at TIMESTAMP"
         return spark.createDataFrame([], schema)
-    return files.select(*_origin())
+    listed = files.select(*_origin())
+    empty = _empty_objects(spark, files)
+    return listed if empty is None else listed.unionByName(empty)
 
 
-def read_documents(spark: SparkSession, landing: str, modified_after: str | None = None) -> DataFrame:
-    """Raw documents with their origin. `modified_after` (UTC) already prunes at listing."""
+def _empty_objects(spark: SparkSession, files: DataFrame) -> DataFrame | None:
+    """Objects of no bytes, None if there are none: listed files that give no row.
+
+    The names come to the driver, which has listed them, only if there are fewer rows than
+    files, and their time stamps one by one.
+    """
+    listed = files._jdf.inputFiles()
+    if len(listed) == files.select("path").count():
+        return None
+    paths = spark.createDataFrame([(p,) for p in listed], "file_path STRING")
+    seen = files.select(F.col("_metadata.file_path").alias("file_path"))
+    rows = []
+    for row in paths.join(seen, "file_path", "left_anti").collect():
+        at = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row.file_path))
+        status = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getFileStatus(at)
+        rows.append((row.file_path, status.getModificationTime()))
+    found = spark.createDataFrame(rows, "file_path STRING, millis BIGINT")
+    path = F.col("file_path")
+    return found.select(
+        path, names.name_in_path(path).alias("object_name"), F.timestamp_millis("millis").alias("landed_at")
+    )
+
+
+def read_documents(
+    spark: SparkSession,
+    landing: str | list[str],
+    modified_after: str | None = None,
+    modified_before: str | None = None,
+) -> DataFrame:
+    """Raw documents of a folder or of given files, with their origin.
+
+    `modified_after` and `modified_before` (UTC) already prune at listing.
+    """
     reader = (
         spark.read.option("lineSep", RECORD_SEPARATOR)
         .option("recursiveFileLookup", True)
@@ -67,16 +102,23 @@ def read_documents(spark: SparkSession, landing: str, modified_after: str | None
     )
     if modified_after is not None:
         reader = reader.option("modifiedAfter", modified_after)
+    if modified_before is not None:
+        reader = reader.option("modifiedBefore", modified_before)
     return reader.text(landing).select(F.col("value").alias("document"), *_origin())
 
 
 def stream_documents(
     spark: SparkSession, landing: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """The same frame as an unbounded one; Spark's file source takes the oldest files first."""
+    """The same frame as an unbounded one; Spark's file source takes the oldest files first.
+
+    No file is too old to be taken: copies and restored backups keep old time stamps. The
+    price is that the source remembers the name of every file it has taken.
+    """
     reader = (
         spark.readStream.option("lineSep", RECORD_SEPARATOR)
         .option("recursiveFileLookup", True)
+        .option("maxFileAge", "100000d")
     )
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

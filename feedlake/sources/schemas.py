@@ -83,6 +83,7 @@ APPROACH_PATHS = {
     "orbiting_body": "orbiting_body",
 }
 
+# The column names of the tables.
 DATE_COLUMNS = ["observation_date", "close_approach_date"]
 VELOCITY_COLUMNS = ["velocity_kps", "velocity_kph", "velocity_mph"]
 DISTANCE_COLUMNS = ["miss_distance_au", "miss_distance_ld", "miss_distance_km", "miss_distance_mi"]
@@ -90,6 +91,9 @@ DISTANCE_COLUMNS = ["miss_distance_au", "miss_distance_ld", "miss_distance_km",
 SILVER_COLUMNS = ["observation_date", *ASTEROID_PATHS, *APPROACH_PATHS]
 GOLD_COLUMNS = ["observation_date", "name", "velocity_kps", "miss_distance_ld"]
 
+# What the silver table keeps of a row's origin, to tell which of two versions came later.
+ORIGIN_COLUMNS = ["landed_at", "object_name"]
+
 # The key two loads of the same approach share. The narrower pair (day, asteroid) does not
 # identify a row: an asteroid can pass more than once a day.
 FEED_KEYS = ["observation_date", "asteroid_id"]

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +23,8 @@ from pyspark.sql import types as T
 
 DYNAMIC = {"partitionOverwriteMode": "dynamic"}
 DAY, MONTH, YEAR = "day", "month", "year"
+# Below a table: merges that are not finished, and the mark of those that can be.
+MERGES, READY = "_merges", "_READY"
 
 
 def is_path(table: str) -> bool:
@@ -39,18 +42,39 @@ def has_row_level_catalog(spark: SparkSession, table: str) -> bool:
     )
 
 
-def catalog_conf(catalog: str, warehouse: str) -> dict[str, str]:
+def catalog_conf(
+    catalog: str,
+    warehouse: str,
+    *,
+    endpoint: str | None = None,
+    io_impl: str | None = None,
+    path_style: bool | None = None,
+    credentials_provider: str | None = None,
+    default: bool = False,
+) -> dict[str, str]:
     """Session settings for an Iceberg catalog kept in a directory or object store.
 
-    To be set before the session starts, with the Iceberg runtime on the class path.
+    To be set before the session starts, with the Iceberg runtime on the class path. An object
+    store is told by its endpoint, the class that reads and writes it, whether buckets stand in
+    the path, and the class that finds credentials; secrets themselves never go in here.
+    `default` makes the catalog the one of names without a catalog.
     """
+    # fixed values: setting keys and class names of Spark, Iceberg and Hadoop
     at = f"spark.sql.catalog.{catalog}"
-    return {
+    settings = {
         "spark.sql.extensions": "org.apache.iceberg.spark.extensions.IcebergSparkSessionExtensions",
         at: "org.apache.iceberg.spark.SparkCatalog",
         f"{at}.type": "hadoop",
         f"{at}.warehouse": warehouse,
+        f"{at}.io-impl": io_impl,
+        f"{at}.s3.endpoint": endpoint,
+        f"{at}.s3.path-style-access": None if path_style is None else str(path_style).lower(),
+        "spark.hadoop.fs.s3a.endpoint": endpoint,
+        "spark.hadoop.fs.s3a.path.style.access": None if path_style is None else str(path_style).lower(),
+        "spark.hadoop.fs.s3a.aws.credentials.provider": credentials_provider,
+        "spark.sql.defaultCatalog": catalog if default else None,
     }
+    return {k: v for k, v in settings.items() if v is not None}
 
 
 def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -59,7 +83,11 @@ def create_namespace(spark: SparkSession, name: str, location: str | None = None
 
 
 def open_table(spark: SparkSession, table: str) -> DataFrame | None:
-    """The table, or None when it does not exist; lists its files once."""
+    """The table, or None when it does not exist; lists its files once.
+
+    A merge that a crash has interrupted is finished first.
+    """
+    finish_merges(spark, table)
     if not is_path(table):
         return spark.table(table) if spark.catalog.tableExists(table) else None
     try:
@@ -130,27 +158,96 @@ def create_table(rows: DataFrame, table: str, partition_by: str, grain: str = DA
 def overwrite_partitions(rows: DataFrame, table: str, partition_by: str, grain: str = DAY) -> None:
     """Replace exactly the partitions that occur in `rows`; they may be read from the table.
 
-    New files are moved in at commit, so a lost executor costs only its tasks. The commit of
-    several partitions is not atomic: one writer at a time, rerun after a crash.
+    The new partitions are written whole below the table, in a folder readers skip, and marked
+    ready; only then each takes the place of the old one. Whatever a crash leaves half done is
+    finished by `finish_merges`, or thrown away if it never became ready, so no stored row
+    depends on the increment being loaded again. One writer at a time; a reader may miss a
+    partition while it is exchanged.
     """
+    spark = rows.sparkSession
+    staged = f"{_location(spark, table)}/{MERGES}/{uuid.uuid4().hex}"
+    column = partition_column(partition_by, grain)
     laid_out = _laid_out(rows, partition_by, grain)
+    if not is_path(table):
+        laid_out = laid_out.select(*spark.table(table).columns)
+    laid_out.write.format("parquet").partitionBy(column).save(staged)
+    files, root = _folder(spark, staged)
+    files.create(_child(spark, root, READY)).close()
+    finish_merges(spark, table)
+
+
+def finish_merges(spark: SparkSession, table: str) -> None:
+    """Move the partitions of merges that were ready into the table; drop those that were not."""
+    place = _location(spark, table)
+    if place is None:
+        return
+    files, root = _folder(spark, place)
+    merges = _child(spark, root, MERGES)
+    if not files.exists(merges):
+        return
+    moved = False
+    for merge in list(_folders(files, merges)):
+        if files.exists(_child(spark, merge, READY)):
+            for part in list(_folders(files, merge)):
+                target = _child(spark, root, part.getName())
+                files.delete(target, True)
+                if not files.rename(part, target):
+                    raise OSError(f"{part} could not be moved to {target}")
+                moved = True
+        files.delete(merge, True)
+    if moved and not is_path(table):
+        spark.catalog.recoverPartitions(table)
+    if moved:
+        spark.catalog.refreshByPath(place)
+
+
+def _folder(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
+
+
+def _child(spark: SparkSession, folder, name: str):
+    # a name with a colon, as in a time, must not be taken for a scheme
+    return spark._jvm.org.apache.hadoop.fs.Path(folder, f"./{name}")
+
+
+def _folders(files, folder) -> Iterator:
+    """The partition folders of a merge, or the merges; at most as many as the table has."""
+    for status in files.listStatus(folder):
+        if status.isDirectory():
+            yield status.getPath()
+
+
+def keep(rows: DataFrame, path: str) -> DataFrame:
+    """`rows` written once and read back, with their schema even where there are none."""
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate data."""
+    files, folder = _folder(spark, path)
+    files.delete(folder, True)
+
+
+def _location(spark: SparkSession, table: str) -> str | None:
     if is_path(table):
-        (
-            laid_out.write.mode("overwrite")
-            .options(**DYNAMIC)
-            .format("parquet")
-            .partitionBy(partition_column(partition_by, grain))
-            .save(table)
-        )
-    else:
-        columns = rows.sparkSession.table(table).columns
-        laid_out.select(*columns).write.mode("overwrite").insertInto(table)
+        return table.rstrip("/")
+    if has_row_level_catalog(spark, table) or not spark.catalog.tableExists(table):
+        return None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
+    return described.head().data_type.rstrip("/")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder path below the shared folder the cluster names for checkpoints.
+def scratch(spark: SparkSession, name: str, root: str | None = None) -> str:
+    """A fresh folder path below `root`, or the shared folder the cluster names for checkpoints.
 
-    Only where none is set, as in local tests, a temporary folder takes its place.
+    Where neither is given, a temporary folder takes its place on a local master; executors of
+    a cluster would not share it, so there this is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="feedlake-")
+    base = root or spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="feedlake-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -1,6 +1,7 @@
 """Small hand-made feeds for the tests."""
 
 import json
+import os
 from pathlib import Path
 
 
@@ -38,7 +39,9 @@ def document(days, **extra):
     return json.dumps({"element_count": len(days), "near_earth_objects": days} | extra)
 
 
-def land(directory, name, text):
-    """An object as another client would land it: one document, one file."""
+def land(directory, name, text, at=None):
+    """An object as another client would land it: one document, one file, time stamp `at`."""
     Path(directory).mkdir(parents=True, exist_ok=True)
     Path(directory, name).write_text(text, encoding="utf-8")
+    if at is not None:
+        os.utime(Path(directory, name), (at, at))

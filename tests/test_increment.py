@@ -1,4 +1,5 @@
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from feeds import approach, asteroid, document, land
 from feedlake.plans import jobs
 from feedlake.sources import tables
 from feedlake.sources.documents import list_objects
+from feedlake.sources.schemas import SILVER_COLUMNS
 from feedlake.streaming.increment import oldest_first, pending_objects, read_rejected
 
 WEEK1, WEEK2 = "neo-2025-05-01_2025-05-07.json", "neo-2025-05-08_2025-05-14.json"
@@ -20,19 +22,25 @@ class Lake:
     def __init__(self, spark, root):
         self.spark, self.root = spark, str(root)
         self.landing = f"{self.root}/bronze"
-        self.batches = 0
+        self.label, self.ledger, self.checkpoint = "b", "ledger", "checkpoint"
 
-    def batch(self):
-        self.batches += 1
+    def report(self):
         return jobs.bronze_to_silver(
             self.spark, self.landing, f"{self.root}/silver", f"{self.root}/rejected",
-            f"{self.root}/ledger", f"b{self.batches}",
+            f"{self.root}/{self.ledger}", self.label,
         )
 
+    def batch(self):
+        return self.report().partitions
+
+    def whole(self):
+        rows = tables.read_table(self.spark, f"{self.root}/silver")
+        return sorted(map(str, rows.select(*SILVER_COLUMNS).collect()))
+
     def stream(self, **options):
         jobs.bronze_to_silver_stream(
             self.spark, self.landing, f"{self.root}/silver", f"{self.root}/rejected",
-            f"{self.root}/checkpoint", **options,
+            f"{self.root}/{self.checkpoint}", **options,
         )
 
     def silver(self):
@@ -99,12 +107,150 @@ def test_only_rejects(lake):
     assert len(lake.rejected()) == 1
 
 
-def test_newest_file_wins_within_a_batch(lake):
-    land(lake.landing, "neo-2025-05-01_2025-05-03.json", week("2025-05-01", "1", kps="5"))
-    land(lake.landing, WEEK1, week("2025-05-01", "1", kps="2"))
-    land(lake.landing, "neo-2025-05-01_2025-05-02.json", week("2025-05-01", "1", kps="8"))
+@pytest.mark.parametrize("way", ["batch", "stream"])
+def test_last_landed_wins_within_a_batch(lake, way):
+    land(lake.landing, "neo-2025-05-01_2025-05-03.json", week("2025-05-01", "1", kps="5"), at=1000)
+    land(lake.landing, WEEK1, week("2025-05-01", "1", kps="2"), at=1001)
+    land(lake.landing, "neo-2025-05-01_2025-05-02.json", week("2025-05-01", "1", kps="8"), at=1002)
+    getattr(lake, way)()
+    assert lake.silver() == [("2025-05-01", "1", 8.0)]
+
+
+def test_of_one_instant_the_later_end_day_wins(lake):
+    for name, kps in ((WEEK1, "2"), ("neo-2025-05-01_2025-05-09.json", "9"), ("neo-2025-05-01_2025-05-02.json", "8")):
+        land(lake.landing, name, week("2025-05-01", "1", kps=kps), at=1000)
+    lake.stream(max_files_per_trigger=1)
+    assert lake.silver() == [("2025-05-01", "1", 9.0)]
+
+
+def test_older_object_loaded_later_overwrites_nothing(lake):
+    land(lake.landing, WEEK1, week("2025-05-01", "1", kps="5"), at=2000)
     lake.batch()
-    assert lake.silver() == [("2025-05-01", "1", 2.0)]
+    land(lake.landing, "neo-2025-05-01_2025-05-09.json", week("2025-05-01", "1", "2", kps="7"), at=1000)
+    lake.batch()
+    assert lake.silver() == [("2025-05-01", "1", 5.0), ("2025-05-01", "2", 7.0)]
+
+
+@pytest.mark.parametrize("way", ["batch", "stream"])
+def test_no_object_is_too_old(lake, way):
+    land(lake.landing, WEEK1, week("2025-05-01", "1"), at=1_750_000_000)
+    getattr(lake, way)()
+    land(lake.landing, WEEK2, week("2025-05-08", "2"), at=1_750_000_000 - 9 * 86_400)
+    land(lake.landing, "neo-2025-05-15_2025-05-21.json", week("2025-05-15", "3"), at=1_750_000_000 - 9 * 31_536_000)
+    getattr(lake, way)()
+    assert [r[1] for r in lake.silver()] == ["1", "2", "3"]
+
+
+@pytest.mark.parametrize("way", ["batch", "stream"])
+def test_rejects_of_all_loads_stay(lake, spark, way):
+    lake.label = "same"
+    for name, text in ((WEEK1, "{bad1"), (WEEK2, "{bad2")):
+        land(lake.landing, name, text)
+        getattr(lake, way)()
+    assert [r[1] for r in lake.rejected()] == ["{bad1", "{bad2"]
+    lake.ledger = lake.checkpoint = "another"
+    getattr(lake, way)()
+    assert [r[1] for r in lake.rejected()] == ["{bad1", "{bad2"]
+
+
+@pytest.mark.parametrize("way", ["batch", "stream"])
+def test_objects_of_no_bytes_are_rejected_once(lake, spark, way):
+    land(lake.landing, WEEK1, week("2025-05-01", "1"))
+    land(lake.landing, WEEK2, "")
+    for _ in range(2):
+        getattr(lake, way)()
+    assert lake.rejected() == [("empty", "", None)]
+    ranges = jobs.bronze_ranges(spark, lake.landing, date(2025, 5, 1), date(2025, 5, 14))
+    assert ranges.count() == 0
+
+
+def test_crash_between_delete_and_move_loses_nothing(lake, spark, monkeypatch):
+    from feedlake.sources import tables as module
+
+    land(lake.landing, WEEK1, week("2025-05-01", "1"))
+    lake.batch()
+    land(lake.landing, WEEK2, week("2025-05-01", "2"))
+
+    with monkeypatch.context() as patch:
+        patch.setattr(module, "finish_merges", lambda *a: None)
+        real = module.overwrite_partitions
+
+        def half(*args):
+            real(*args)
+            files, root = module._folder(spark, f"{lake.root}/silver/observation_date=2025-05-01")
+            files.delete(root, True)
+            raise RuntimeError("lost")
+
+        patch.setattr(module, "overwrite_partitions", half)
+        with pytest.raises(RuntimeError, match="lost"):
+            lake.batch()
+    lake.batch()
+    assert [r[1] for r in lake.silver()] == ["1", "2"]
+
+
+def test_merge_that_never_became_ready_is_dropped(lake, spark):
+    land(lake.landing, WEEK1, week("2025-05-01", "1"))
+    lake.batch()
+    before = lake.silver()
+    left = f"{lake.root}/silver/{tables.MERGES}/x/observation_date=2025-05-01"
+    tables.read_table(spark, f"{lake.root}/silver").drop("observation_date").limit(0).write.parquet(left)
+    tables.finish_merges(spark, f"{lake.root}/silver")
+    assert lake.silver() == before
+    assert not list(Path(lake.root, "silver", tables.MERGES).iterdir())
+
+
+def test_only_pending_files_are_read(lake, spark):
+    from feedlake.streaming import increment
+
+    for i in range(5):
+        land(lake.landing, f"neo-2025-05-0{i + 1}_2025-05-0{i + 1}.json", week(f"2025-05-0{i + 1}", "1"))
+    lake.batch()
+    land(lake.landing, WEEK2, week("2025-05-08", "2"), at=1000)
+    objects, done = list_objects(spark, lake.landing), tables.open_table(spark, f"{lake.root}/ledger")
+    pending = pending_objects(objects, done)
+    documents = increment._pending_documents(spark, lake.landing, pending, objects, done)
+    assert len(documents.inputFiles()) == 1
+
+
+def test_pending_by_windows_equals_by_names(lake, spark, monkeypatch):
+    from feedlake.streaming import increment
+
+    monkeypatch.setattr(increment, "NAMED_PATHS", 0)
+    land(lake.landing, WEEK1, week("2025-05-01", "1"), at=5_000_000)
+    lake.batch()
+    land(lake.landing, WEEK2, week("2025-05-08", "2"), at=1000)
+    land(lake.landing, "neo-2025-05-15_2025-05-21.json", week("2025-05-15", "3"), at=5_000_000)
+    lake.batch()
+    assert [r[1] for r in lake.silver()] == ["1", "2", "3"]
+
+
+def test_windows_are_parted_at_the_widest_gaps():
+    from datetime import datetime, timedelta
+
+    from feedlake.streaming.increment import windows
+
+    hours = [datetime(2025, 1, 1) + timedelta(hours=h) for h in (0, 1, 5, 6, 100)]
+    assert windows(hours, 2) == [(hours[0], hours[3]), (hours[4], hours[4])]
+    assert windows(hours, 16) == [(hours[0], hours[1]), (hours[2], hours[3]), (hours[4], hours[4])]
+    assert windows(hours[:1], 16) == [(hours[0], hours[0])]
+
+
+def test_loads_report_their_rows(lake, spark, caplog):
+    land(lake.landing, WEEK1, week("2025-05-01", "1", "2"))
+    assert lake.report().rows == 2
+    assert "no pending objects" not in caplog.text
+    assert lake.report().rows == 0
+    assert "no pending objects" in caplog.text
+
+
+def test_landed_files_number_as_the_ranges(spark, sf_dir, tmp_path):
+    from feedlake.plans import synthetic
+    from feedlake.sources.documents import land_documents
+
+    documents = synthetic.feed_documents(spark, sf_dir).repartition(40)
+    land_documents(documents, f"{tmp_path}/bronze")
+    ranges = documents.select("start_date").distinct().count()
+    assert list_objects(spark, f"{tmp_path}/bronze").count() <= ranges + 40
 
 
 def test_failed_load_leaves_objects_pending(lake, spark, monkeypatch):
@@ -133,7 +279,21 @@ def test_stream_in_several_batches_equals_batch(spark, tmp_path):
     one.stream(max_files_per_trigger=2, grain=tables.MONTH)
     two.batch()
     assert len(one.silver()) == 9
-    assert [r[:2] for r in one.silver()] == [r[:2] for r in two.silver()]
+    assert one.whole() == two.whole()
+
+
+def test_arrival_order_whatever_the_batch_size(spark, tmp_path):
+    lakes = [Lake(spark, tmp_path / n) for n in ("batch", "whole", "single")]
+    for i, end in enumerate(("09", "07", "08", "06")):
+        for lake in lakes:
+            land(lake.landing, f"neo-2025-05-01_2025-05-{end}.json", week("2025-05-01", str(i), "x", kps=str(i)), at=1000 + i)
+        if i == 1:
+            lakes[0].batch()
+    lakes[0].batch()
+    lakes[1].stream()
+    lakes[2].stream(max_files_per_trigger=1)
+    assert lakes[0].whole() == lakes[1].whole() == lakes[2].whole()
+    assert ("2025-05-01", "x", 3.0) in lakes[0].silver()
 
 
 def test_pending_and_order(spark, tmp_path):
@@ -157,13 +317,13 @@ def test_layers_end_to_end(lake, spark):
         ("2025-05-08", "2025-05-10", "bronze/neo-2025-05-08_2025-05-10.json")
     ]
     assert lake.batch() is None
-    assert jobs.silver_to_gold(spark, f"{lake.root}/silver", gold) is None
+    assert jobs.silver_to_gold(spark, f"{lake.root}/silver", gold).partitions is None
     land(lake.landing, "neo-2025-05-08_2025-05-10.json", week("2025-05-08", "1", kps="6"))
     assert jobs.bronze_ranges(spark, lake.landing, date(2025, 5, 1), date(2025, 5, 10)).count() == 0
     touched = lake.batch()
     assert touched == [date(2025, 5, 8)]
-    assert jobs.silver_to_gold(spark, f"{lake.root}/silver", gold, touched) == touched
-    everything = jobs.silver_to_gold(spark, f"{lake.root}/silver", gold)
+    assert jobs.silver_to_gold(spark, f"{lake.root}/silver", gold, touched).partitions == touched
+    everything = jobs.silver_to_gold(spark, f"{lake.root}/silver", gold).partitions
     assert sorted(everything) == [date(2025, 5, 1), date(2025, 5, 8)]
     views = jobs.gold_views(spark, gold, date(2025, 5, 1))
     assert tuple(views["bounds"].head()) == (date(2025, 5, 1), date(2025, 5, 8))

@@ -41,13 +41,13 @@ def table(request, spark, tmp_path):
 def test_create_then_merge_touched_partitions_only(spark, tmp_path, table, grain):
     assert not tables.table_exists(spark, table)
     first = frame(spark, [(D1, 1, "a"), (D1, 2, "a"), (D3, 1, "a"), (None, 9, "n")])
-    assert upsert_table(spark, first, table, ["d", "k"], "d", grain) is None
+    assert upsert_table(spark, first, table, ["d", "k"], "d", grain).partitions is None
     assert tables.table_exists(spark, table)
     files = files_of(spark, table, "d = date'2025-06-01'")
 
     second = frame(spark, [(D1, 2, "b"), (D2, 7, "b")])
     for _ in range(2):
-        touched = upsert_table(spark, second, table, ["d", "k"], "d")
+        touched = upsert_table(spark, second, table, ["d", "k"], "d").partitions
         assert sorted(touched) == ([D1, D2] if grain == tables.DAY else [D1])
         assert stored(spark, table) == expected(
             (D1, 1, "a"), (D1, 2, "b"), (D2, 7, "b"), (D3, 1, "a"), (None, 9, "n")
@@ -57,7 +57,7 @@ def test_create_then_merge_touched_partitions_only(spark, tmp_path, table, grain
 
 def test_null_partition_is_found_again(spark, table):
     upsert_table(spark, frame(spark, [(None, 1, "a"), (D1, 1, "a")]), table, ["d", "k"], "d")
-    touched = upsert_table(spark, frame(spark, [(None, 1, "b")]), table, ["d", "k"], "d")
+    touched = upsert_table(spark, frame(spark, [(None, 1, "b")]), table, ["d", "k"], "d").partitions
     assert touched == [None]
     assert stored(spark, table) == expected((None, 1, "a"), (None, 1, "b"), (D1, 1, "a"))
 
@@ -98,7 +98,7 @@ def test_failed_merge_changes_nothing(spark, table):
 
 def test_empty_increment(spark, table):
     upsert_table(spark, frame(spark, [(D1, 1, "a")]), table, ["d", "k"], "d")
-    assert upsert_table(spark, frame(spark, []), table, ["d", "k"], "d") == []
+    assert upsert_table(spark, frame(spark, []), table, ["d", "k"], "d") == upsert.Load(0, [])
     assert stored(spark, table) == expected((D1, 1, "a"))
 
 

@@ -12,8 +12,9 @@ Document frequencies are exact over all documents. Only shingles that make up at
 them, whatever the corpus, so it can be broadcast); rarer ones share the largest idf.
 
 Equal texts are one from the start. Within a bucket no pair is made that is not needed:
-members are verified against one pivot, then those of other components against a few more, and
-only what is still apart is compared pair by pair.
+members are verified against one pivot, then those of other components against a few more.
+Large buckets that are still not one component owe it to a passage that many documents share;
+what is apart in them is compared pair by pair where it shares a second band as well.
 """
 
 from __future__ import annotations
@@ -226,8 +227,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """`docs` with `class_id` (smallest doc_id reachable by links) and `kept` (it is the own one).
 
     Documents link if their weighted Jaccard similarity is at least `threshold`, or if their
-    texts are equal and not empty. Candidates are found with a probability of 0.998 at 0.8 and
-    more above. A text of fewer than five words is one shingle of all its words. NULL and empty
+    texts are equal and not empty. A pair shares a band with a probability of 0.998 at 0.8 and
+    two bands with 0.985, more above: the first makes it a candidate if one of the two is a
+    pivot, the second always. A text of fewer than five words is one shingle of all its words. NULL and empty
     texts link with nothing, texts without any word only with equal ones. Rows that share a
     doc_id are one document. Rows without an id link with nothing: class_id NULL, kept true.
     Input columns of the two names are replaced, all others stay.
@@ -281,31 +283,54 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def _pairs(members: DataFrame, groups: DataFrame | None, pivots: int) -> DataFrame:
-    """Pairs (a, b) to verify: members of a bucket with its pivots, each pair once.
+    """Pairs (a, b) to verify, each once: members of a bucket with its pivots, or close ones.
 
     `pivots` is the number of pivots of a bucket, the smallest ids of as many hash classes; 0
-    makes every member one. With `groups`, only pairs of different components count.
+    stands for `_close_pairs`. With `groups`, only pairs of different components count.
     """
     if groups is not None:
         component = groups.select(F.col("node").alias("id"), "component")
         members = members.join(component, "id", "left").withColumn("component", F.coalesce("component", "id"))
     else:
         members = members.withColumn("component", F.col("id"))
-    if pivots:
-        salt = F.pmod(F.xxhash64("id"), F.lit(pivots))
-        chosen = members.groupBy("band", "hash", salt.alias("salt")).agg(F.min_by(F.struct("id", "component"), "id").alias("p"))
-        chosen = chosen.select("band", "hash", F.col("p.id").alias("pivot"), F.col("p.component").alias("other"))
-    else:
-        apart = members.groupBy("band", "hash").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        open_ = apart.filter("low < high").select("band", "hash")
-        members = members.join(open_, ["band", "hash"], "left_semi")
-        chosen = members.select("band", "hash", F.col("id").alias("pivot"), F.col("component").alias("other"))
-    joined = members.join(chosen, ["band", "hash"]).filter(F.col("component") != F.col("other"))
     if not pivots:
-        joined = joined.filter("id > pivot")
+        return _close_pairs(members)
+    salt = F.pmod(F.xxhash64("id"), F.lit(pivots))
+    chosen = members.groupBy("band", "hash", salt.alias("salt")).agg(
+        F.min_by(F.struct("id", "component"), "id").alias("p")
+    )
+    chosen = chosen.select("band", "hash", F.col("p.id").alias("pivot"), F.col("p.component").alias("other"))
+    joined = members.join(chosen, ["band", "hash"]).filter(F.col("component") != F.col("other"))
     return joined.select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")).distinct()
 
 
+def _close_pairs(members: DataFrame) -> DataFrame:
+    """Pairs of different components that share two buckets.
+
+    Two documents alike share five of sixteen bands on average; two that only have a passage in
+    common rarely share a second one.
+    """
+    members = members.select(F.xxhash64("band", "hash").alias("bucket"), "id", "component")
+    members = _apart(members, "bucket")
+    lists = members.groupBy("id", "component").agg(F.array_sort(F.collect_set("bucket")).alias("own"))
+    # at most BANDS buckets, so at most BANDS * (BANDS - 1) / 2 pairs of them for a document
+    twos = F.flatten(
+        F.transform(
+            "own", lambda x, i: F.transform(F.slice("own", i + 2, F.lit(BANDS)), lambda y: F.xxhash64(x, y))
+        )
+    )
+    both = _apart(lists.select("id", "component", F.explode(twos).alias("bucket")), "bucket")
+    other = both.select("bucket", F.col("id").alias("pivot"), F.col("component").alias("other"))
+    joined = both.join(other, "bucket").filter((F.col("id") > F.col("pivot")) & (F.col("component") != F.col("other")))
+    return joined.select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
+
+
+def _apart(members: DataFrame, bucket: str) -> DataFrame:
+    """Members of buckets that hold more than one component."""
+    spans = members.groupBy(bucket).agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return members.join(spans.filter("low < high").select(bucket), bucket, "left_semi")
+
+
 def _with_texts(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
     """`pairs` with `text_a` and `text_b`, those of one pivot b after another."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()

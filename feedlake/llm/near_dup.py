@@ -14,7 +14,8 @@ them, whatever the corpus, so it can be broadcast); rarer ones share the largest
 Equal texts are one from the start. Within a bucket no pair is made that is not needed:
 members are verified against one pivot, then those of other components against a few more.
 Large buckets that are still not one component owe it to a passage that many documents share;
-what is apart in them is compared pair by pair where it shares a second band as well.
+what is apart in them is compared by its samples, in tiles within the tasks, and only pairs
+that agree in `AGREE` of them go on to be verified.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +43,10 @@ IDF = 0.05
 TABLE_BITS = 16
 #: Pivots of a bucket in the second round.
 PIVOTS = 8
+#: Samples two documents must agree in to be verified without a pivot: 2.1 deviations below
+#: the mean of a pair at the threshold.
+AGREE = 57
+TILE_ROWS, TILE_CHUNK = 2048, 256
 #: Ids of candidate documents that may be broadcast to the scan of the texts.
 BROADCAST_IDS = 1_000_000
 
@@ -62,9 +68,10 @@ class Sampler:
         self.log_c = np.log(rng.gamma(2.0, 1.0, size)).astype(np.float32)
         self.factors = (rng.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
-    def bands(self, hashes: np.ndarray, log_weights: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """One row of band hashes for each set; `starts` are those of non-empty sets."""
+    def bands(self, hashes: np.ndarray, log_weights: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Band hashes and a byte of each sample, a row for each set; `starts` of non-empty sets."""
         out = np.zeros((len(starts), BANDS), np.uint64)
+        samples = np.zeros((len(starts), BANDS * ROWS), np.uint8)
         for band in range(BANDS):
             value = np.full(len(starts), np.uint64(band + 1))
             for k in range(band * ROWS, band * ROWS + ROWS):
@@ -75,9 +82,11 @@ class Sampler:
                 a = self.log_c[at] - r * (level - b + np.float32(1))
                 a += ((mixed >> np.uint64(16)) & np.uint64(0xFFFFFF)).astype(np.float32) * np.float32(1e-9)
                 least = np.minimum.reduceat(a, starts)
-                value = mix(value ^ least.view(np.uint32).astype(np.uint64)) + np.uint64(k)
+                sample = mix(least.view(np.uint32).astype(np.uint64))
+                samples[:, k] = sample >> np.uint64(56)
+                value = mix(value ^ sample) + np.uint64(k)
             out[:, band] = value
-        return out
+        return out, samples
 
 
 class Weights:
@@ -188,14 +197,15 @@ def _signer(weights: Weights) -> Callable:
         for batch in batches:
             for at, distinct, counts, bounds in _sets(batch.column("text")):
                 full = np.flatnonzero(np.diff(bounds))
-                bands = np.zeros((0, BANDS), np.uint64)
+                bands, samples = np.zeros((0, BANDS), np.uint64), np.zeros((0, BANDS * ROWS), np.uint8)
                 if len(full):
-                    bands = sampler.bands(distinct, weights.log(distinct, counts).astype(np.float32), bounds[:-1][full])
+                    bands, samples = sampler.bands(distinct, weights.log(distinct, counts).astype(np.float32), bounds[:-1][full])
                 flat = pa.array(bands.ravel().view(np.int64), pa.int64())
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(full) + 1) * BANDS, pa.int32()), flat)
                 kept = batch.take(pa.array(full + at))
                 yield pa.RecordBatch.from_arrays(
-                    [kept.column("doc_id"), kept.column("h1"), kept.column("h2"), lists], names=["doc_id", "h1", "h2", "bands"]
+                    [kept.column("doc_id"), kept.column("h1"), kept.column("h2"), lists, pa.array([s.tobytes() for s in samples], pa.binary())],
+                    names=["doc_id", "h1", "h2", "bands", "samples"],
                 )
 
     return sign
@@ -228,10 +238,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     Documents link if their weighted Jaccard similarity is at least `threshold`, or if their
     texts are equal and not empty. A pair shares a band with a probability of 0.998 at 0.8 and
-    two bands with 0.985, more above: the first makes it a candidate if one of the two is a
-    pivot, the second always. A text of fewer than five words is one shingle of all its words. NULL and empty
+    agrees in enough samples with 0.98, more above: the first alone makes it a candidate if one
+    of the two is a pivot, both together always. A text of fewer than five words is one shingle of all its words. NULL and empty
     texts link with nothing, texts without any word only with equal ones. Rows that share a
-    doc_id are one document. Rows without an id link with nothing: class_id NULL, kept true.
+    doc_id are one document; of its texts, one is compared with others. Rows without an id link with nothing: class_id NULL, kept true.
     Input columns of the two names are replaced, all others stay.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "near-dup")
@@ -250,9 +260,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     texts = own.filter(F.col("doc_id").isNotNull() & (F.col("text") != "")).select("doc_id", *hashes, "text")
     ids = texts.select("doc_id", "h1", "h2")
     classes = scratch.keep(ids.groupBy("h1", "h2").agg(F.min("doc_id").alias("node")), "classes")
-    signed = scratch.keep(texts.mapInArrow(sign, "doc_id long, h1 long, h2 long, bands array<long>"), "signed")
+    signed = scratch.keep(texts.mapInArrow(sign, "doc_id long, h1 long, h2 long, bands array<long>, samples binary"), "signed")
     first = signed.join(classes.select("h1", "h2", F.col("node").alias("doc_id")), ["h1", "h2", "doc_id"], "left_semi")
-    members = first.select(F.col("doc_id").alias("id"), F.posexplode("bands").alias("band", "hash")).distinct()
+    first = scratch.keep(first.groupBy("doc_id").agg(F.min("bands").alias("bands"), F.min("samples").alias("samples")), "first")
+    members = first.select(F.col("doc_id").alias("id"), F.posexplode("bands").alias("band", "hash"))
     members = scratch.keep(members, "members")
     crowded = members.groupBy("band", "hash").agg(F.min("id").alias("least"), F.max("id").alias("most"))
     crowded = scratch.keep(crowded.filter("least < most").select("band", "hash"), "buckets")
@@ -263,7 +274,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     links = scratch.keep(own_links.distinct(), "links")
     groups = None
     for pivots in (1, PIVOTS, 0):
-        pairs = scratch.keep(_pairs(members, groups, pivots), "pairs")
+        pairs = scratch.keep(_pairs(members, groups, pivots, first, scratch), "pairs")
         if pairs.isEmpty():
             continue
         found = scratch.keep(_with_texts(pairs, texts, classes).mapInArrow(verify, "a long, b long"), "verified")
@@ -282,7 +293,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return add_columns(named, class_id=F.col("__class"), kept=kept).drop("__class", "__id")
 
 
-def _pairs(members: DataFrame, groups: DataFrame | None, pivots: int) -> DataFrame:
+def _pairs(members: DataFrame, groups: DataFrame | None, pivots: int, signed: DataFrame, scratch: Scratch) -> DataFrame:
     """Pairs (a, b) to verify, each once: members of a bucket with its pivots, or close ones.
 
     `pivots` is the number of pivots of a bucket, the smallest ids of as many hash classes; 0
@@ -294,7 +305,7 @@ def _pairs(members: DataFrame, groups: DataFrame | None, pivots: int) -> DataFra
     else:
         members = members.withColumn("component", F.col("id"))
     if not pivots:
-        return _close_pairs(members)
+        return _close_pairs(members, signed, scratch)
     salt = F.pmod(F.xxhash64("id"), F.lit(pivots))
     chosen = members.groupBy("band", "hash", salt.alias("salt")).agg(
         F.min_by(F.struct("id", "component"), "id").alias("p")
@@ -304,31 +315,48 @@ def _pairs(members: DataFrame, groups: DataFrame | None, pivots: int) -> DataFra
     return joined.select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")).distinct()
 
 
-def _close_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of different components that share two buckets.
+def _close_pairs(members: DataFrame, signed: DataFrame, scratch: Scratch) -> DataFrame:
+    """Pairs of different components that share a bucket and at least `AGREE` samples.
 
-    Two documents alike share five of sixteen bands on average; two that only have a passage in
-    common rarely share a second one.
+    A bucket is compared in tiles of at most TILE_ROWS by TILE_ROWS documents, whose samples
+    are bytes; only pairs that agree leave the task, each from the first bucket it shares.
     """
-    members = members.select(F.xxhash64("band", "hash").alias("bucket"), "id", "component")
-    members = _apart(members, "bucket")
-    lists = members.groupBy("id", "component").agg(F.array_sort(F.collect_set("bucket")).alias("own"))
-    # at most BANDS buckets, so at most BANDS * (BANDS - 1) / 2 pairs of them for a document
-    twos = F.flatten(
-        F.transform(
-            "own", lambda x, i: F.transform(F.slice("own", i + 2, F.lit(BANDS)), lambda y: F.xxhash64(x, y))
-        )
+    open_ = members.groupBy("band", "hash").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("count")
     )
-    both = _apart(lists.select("id", "component", F.explode(twos).alias("bucket")), "bucket")
-    other = both.select("bucket", F.col("id").alias("pivot"), F.col("component").alias("other"))
-    joined = both.join(other, "bucket").filter((F.col("id") > F.col("pivot")) & (F.col("component") != F.col("other")))
-    return joined.select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
-
-
-def _apart(members: DataFrame, bucket: str) -> DataFrame:
-    """Members of buckets that hold more than one component."""
-    spans = members.groupBy(bucket).agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return members.join(spans.filter("low < high").select(bucket), bucket, "left_semi")
+    open_ = open_.filter("low < high").select("band", "hash", F.ceil(F.col("count") / TILE_ROWS).cast("int").alias("blocks"))
+    rows = members.join(scratch.keep(open_, "open"), ["band", "hash"])
+    own = signed.select(F.col("doc_id").alias("id"), "bands", "samples")
+    rows = rows.join(own, "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+
+    def agree(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        band, _, low, high = (int(k) for k in key)
+        left, right = frame[frame["block"] == low], frame[frame["block"] == high]
+        found = [np.zeros((0, 2), np.int64)]
+        if len(left) and len(right):
+            ids, samples, groups, bands = _columns(right)
+            for at in range(0, len(left), TILE_CHUNK):
+                own_ids, own_samples, own_groups, own_bands = _columns(left.iloc[at : at + TILE_CHUNK])
+                same = np.zeros((len(own_ids), len(ids)), np.uint8)
+                for k in range(BANDS * ROWS):
+                    same += own_samples[:, k, None] == samples[None, :, k]
+                i, j = np.nonzero((same >= AGREE) & (own_groups[:, None] != groups[None, :]))
+                first = (own_bands[i] == bands[j]).argmax(axis=1) == band
+                if low == high:
+                    first &= own_ids[i] > ids[j]
+                found.append(np.stack([own_ids[i[first]], ids[j[first]]], axis=1))
+        pairs = np.concatenate(found)
+        return pd.DataFrame({"a": pairs.max(axis=1, initial=-(2**63)), "b": pairs.min(axis=1, initial=2**63 - 1)})
+
+    chosen = rows.select("band", "hash", "low", "high", "block", "id", "component", "bands", "samples")
+    return chosen.groupBy("band", "hash", "low", "high").applyInPandas(agree, "a long, b long").distinct()
+
+
+def _columns(frame: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    samples = np.frombuffer(b"".join(frame["samples"]), np.uint8).reshape(len(frame), BANDS * ROWS)
+    return frame["id"].to_numpy(), samples, frame["component"].to_numpy(), np.stack(frame["bands"].to_list())
 
 
 def _with_texts(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:

@@ -128,12 +128,14 @@ def mix_sources(
         else:
             wanted[margin] = scratch.keep(tempered(cells, margin, temper), "targets")
     weights = rake(cells, wanted, scratch)
+    # sums differ in their last digits with the order of rows
+    weights = scratch.keep(weights.withColumn("weight", F.round("weight", 9)), "rounded")
     largest = weights.agg(F.max("weight")).head()[0]
     weights = scratch.keep(weights.select(*(F.col(m).alias(f"__{m}") for m in MARGINS), F.col("weight").alias("__weight")), "raked")
     keyed = rows.select("*", *(_value(m).alias(f"__{m}") for m in MARGINS))
     out = keyed.join(weights, [f"__{m}" for m in MARGINS], "left").drop(*(f"__{m}" for m in MARGINS))
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(2**53)) / float(2**53)
     counted = F.col("n_tokens") > 0
-    probability = F.when(counted & F.col("__weight").isNotNull(), F.col("__weight") / F.lit(largest)).otherwise(0.0)
+    probability = F.when(counted & F.col("__weight").isNotNull(), F.round(F.col("__weight") / F.lit(largest), 9)).otherwise(0.0)
     out = add_columns(out, weight=F.when(counted, F.col("__weight")), probability=probability, selected=draw < probability)
     return out.drop("__weight")

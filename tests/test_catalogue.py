@@ -7,8 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+from feedlake.plans.oracles import ORACLES
+from feedlake.plans.queries import CATALOGUE as QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -37,6 +37,8 @@ def test_query_equals_oracle(spark, oracle, sf_dir, name):
 
 def test_every_query_has_an_oracle():
     assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.items() <= contract.queries().items()
+    assert ORACLES.items() <= contract.oracle_sql().items()
 
 
 def test_entry(spark):

@@ -87,6 +87,20 @@ def test_newest_of_a_hot_key(spark):
     assert newest.filter("k = -1").head().v == hot(spark, 3).filter("k = -1").agg(F.max("v")).head()[0]
 
 
+def test_an_order_in_pieces_is_one_asteroid_a_day(spark, sf_dir, tmp_path):
+    from feedlake.plans.queries import feed_explode_days, load_audit_counts
+
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    copies = lines.limit(1).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(3000)))).drop("copy")
+    lines.unionByName(copies).write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    found = feed_explode_days(spark, str(tmp_path))
+    assert found.count() == orders.count() == found.distinct().count()
+    counts = load_audit_counts(spark, str(tmp_path)).agg(F.sum("row_count")).head()[0]
+    assert counts == orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).count() + 3000
+
+
 def test_hot_order_in_the_feed(spark, small_splits, sf_dir, tmp_path):
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")

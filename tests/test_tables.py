@@ -131,6 +131,35 @@ def test_catalogs(spark):
         spark.conf.unset("spark.sql.catalog.lake")
 
 
+def test_object_store_settings():
+    conf = tables.catalog_conf(
+        "lake", "s3://lake", endpoint="http://store:9000", io_impl="org.apache.iceberg.aws.s3.S3FileIO",
+        path_style=True, credentials_provider="some.Provider", default=True,
+    )
+    assert conf["spark.sql.catalog.lake.s3.endpoint"] == conf["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
+    assert conf["spark.sql.catalog.lake.s3.path-style-access"] == "true"
+    assert conf["spark.sql.defaultCatalog"] == "lake"
+    assert not [k for k in tables.catalog_conf("lake", "/shared") if "s3" in k or "default" in k]
+
+
+def test_scratch_without_a_shared_folder():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:
+            master = "spark://cluster:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        tables.scratch(Session, "x")
+    assert tables.scratch(Session, "x", "/given").startswith("/given/x-")
+    Session.sparkContext.master = "local[2]"
+    assert "feedlake-" in tables.scratch(Session, "x")
+
+
 def test_scratch_is_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = tables.scratch(spark, "x"), tables.scratch(spark, "x")

@@ -48,6 +48,23 @@ def test_rows_are_counted_while_they_are_written(spark, tmp_path):
     assert seen.get == {"row_count": 4}
 
 
+def test_stored_views_read_only_their_partitions(spark, tmp_path):
+    table = f"{tmp_path}/gold"
+    days = [date(2025, m, d) for m in range(1, 7) for d in (2, 20)]
+    rows = spark.createDataFrame([(d, "a", float(d.day), 1.0) for d in days], GOLD)
+    tables.create_table(rows, table, "observation_date", tables.MONTH)
+    stored = tables.read_table(spark, table)
+    bounds = date_bounds(stored)
+    assert tuple(bounds.head()) == (date(2025, 1, 2), date(2025, 6, 20))
+    bounds.collect()
+    plan = bounds._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [((observation_date_month" in plan
+    one_day = miss_distances(stored, date(2025, 3, 2))
+    assert one_day.count() == 1
+    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(observation_date_month" in plan and "2025-03-01" in plan
+
+
 def test_histogram_scans_for_its_bounds_once(spark):
     found = histogram(gold(spark), "velocity_kps")
     found.collect()

@@ -14,8 +14,9 @@ them, whatever the corpus, so it can be broadcast); rarer ones share the largest
 Equal texts are one from the start. Within a bucket no pair is made that is not needed:
 members are verified against one pivot, then those of other components against a few more.
 Large buckets that are still not one component owe it to a passage that many documents share;
-what is apart in them is compared by its samples, in tiles within the tasks, and only pairs
-that agree in `AGREE` of them go on to be verified.
+what is apart in them is compared by its samples, in tiles within the tasks. Pairs that agree
+in `AGREE` of them are verified in the same tiles, to which each text goes once, not once for
+each pair.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from feedlake.llm.words import Hasher, mix, shingles, slices
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
+#: What sums in another order may differ by; a similarity of exactly the threshold is a link.
+ROUNDING = 1e-9
 BANDS, ROWS = 16, 5
 FREQUENT = 1 << 17
 #: Cells of the filter that finds frequent shingles, as a power of two.
@@ -47,6 +50,11 @@ PIVOTS = 8
 #: the mean of a pair at the threshold.
 AGREE = 57
 TILE_ROWS, TILE_CHUNK = 2048, 256
+#: Bytes of text of a block, two of which are a tile.
+TILE_BYTES = 32 << 20
+#: Shingles of partners that are compared at once.
+COMPARED = 1 << 20
+SIGNED = "doc_id long, h1 long, h2 long, size long, bands array<long>, samples binary"
 #: Ids of candidate documents that may be broadcast to the scan of the texts.
 BROADCAST_IDS = 1_000_000
 
@@ -204,8 +212,8 @@ def _signer(weights: Weights) -> Callable:
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(full) + 1) * BANDS, pa.int32()), flat)
                 kept = batch.take(pa.array(full + at))
                 yield pa.RecordBatch.from_arrays(
-                    [kept.column("doc_id"), kept.column("h1"), kept.column("h2"), lists, pa.array([s.tobytes() for s in samples], pa.binary())],
-                    names=["doc_id", "h1", "h2", "bands", "samples"],
+                    [kept.column("doc_id"), kept.column("h1"), kept.column("h2"), kept.column("size"), lists, pa.array([s.tobytes() for s in samples], pa.binary())],
+                    names=["doc_id", "h1", "h2", "size", "bands", "samples"],
                 )
 
     return sign
@@ -226,13 +234,69 @@ def _verifier(weights: Weights, threshold: float) -> Callable:
                     if last is None or last[0] != pivot:
                         _, d, c, _ = next(_sets(texts.slice(at + row, 1)))
                         last = pivot, (d, np.exp(weights.log(d, c)))
-                    if similarity((distinct[own], values[own]), last[1]) >= threshold:
+                    if similarity((distinct[own], values[own]), last[1]) >= threshold - ROUNDING:
                         kept.append(at + row)
             yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
 
     return verify
 
 
+def _tile_verifier(weights: Weights, threshold: float) -> Callable:
+    """Links among the documents of a tile, each with the `others` it may be close to.
+
+    Pairs that earlier links of the tile connect need no comparison.
+    """
+
+    def verify(frame: pd.DataFrame) -> pd.DataFrame:
+        ids, others = frame["id"].tolist(), frame["others"].tolist()
+        sets, sums = {}, {}
+        for at, distinct, counts, bounds in _sets(pa.array(frame["text"], pa.large_string())):
+            values = np.exp(weights.log(distinct, counts))
+            for row in range(len(bounds) - 1):
+                own = slice(bounds[row], bounds[row + 1])
+                sets[ids[at + row]] = distinct[own], values[own]
+                sums[ids[at + row]] = float(values[own].sum())
+        parent = {i: i for i in ids}
+
+        def root(i: int) -> int:
+            while parent[i] != i:
+                parent[i] = parent[parent[i]]
+                i = parent[i]
+            return i
+
+        links = []
+        for a, partners in zip(ids, others, strict=True):
+            left = list(partners)
+            while left:
+                taken, size = [], 0
+                while left and size < COMPARED:
+                    b = left.pop()
+                    if root(a) != root(b):
+                        taken.append(b)
+                        size += len(sets[b][0])
+                if not taken:
+                    continue
+                both = _overlaps(sets[a], [sets[b] for b in taken])
+                total = sums[a] + np.array([sums[b] for b in taken]) - both
+                for k in np.flatnonzero(both >= (threshold - ROUNDING) * total):
+                    if root(a) != root(taken[k]):
+                        parent[root(a)] = root(taken[k])
+                        links.append((a, taken[k]))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    return verify
+
+
+def _overlaps(own: tuple[np.ndarray, np.ndarray], others: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Sums of the smaller weights of the shingles that `own` shares with each of `others`."""
+    distinct, values = own
+    found = np.concatenate([d for d, _ in others])
+    place = np.minimum(np.searchsorted(distinct, found), len(distinct) - 1)
+    smaller = np.minimum(values[place], np.concatenate([v for _, v in others]))
+    row = np.repeat(np.arange(len(others)), [len(d) for d, _ in others])
+    return np.bincount(row, np.where(distinct[place] == found, smaller, 0.0), len(others))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """`docs` with `class_id` (smallest doc_id reachable by links) and `kept` (it is the own one).
 
@@ -257,13 +321,18 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _verifier(Weights(*shared.value), threshold)(batches)
 
-    texts = own.filter(F.col("doc_id").isNotNull() & (F.col("text") != "")).select("doc_id", *hashes, "text")
+    def verify_tile(frame: pd.DataFrame) -> pd.DataFrame:
+        return _tile_verifier(Weights(*shared.value), threshold)(frame)
+
+    texts = own.filter(F.col("doc_id").isNotNull() & (F.col("text") != "")).select(
+        "doc_id", *hashes, F.octet_length("text").cast("long").alias("size"), "text"
+    )
     ids = texts.select("doc_id", "h1", "h2")
     classes = scratch.keep(ids.groupBy("h1", "h2").agg(F.min("doc_id").alias("node")), "classes")
-    signed = scratch.keep(texts.mapInArrow(sign, "doc_id long, h1 long, h2 long, bands array<long>, samples binary"), "signed")
+    signed = scratch.keep(texts.mapInArrow(sign, SIGNED), "signed")
     first = signed.join(classes.select("h1", "h2", F.col("node").alias("doc_id")), ["h1", "h2", "doc_id"], "left_semi")
-    first = scratch.keep(first.groupBy("doc_id").agg(F.min("bands").alias("bands"), F.min("samples").alias("samples")), "first")
-    members = first.select(F.col("doc_id").alias("id"), F.posexplode("bands").alias("band", "hash"))
+    first = scratch.keep(first.groupBy("doc_id").agg(F.min("bands").alias("bands"), F.min("samples").alias("samples"), F.min("size").alias("size")), "first")
+    members = first.select(F.col("doc_id").alias("id"), "size", F.posexplode("bands").alias("band", "hash"))
     members = scratch.keep(members, "members")
     crowded = members.groupBy("band", "hash").agg(F.min("id").alias("least"), F.max("id").alias("most"))
     crowded = scratch.keep(crowded.filter("least < most").select("band", "hash"), "buckets")
@@ -274,10 +343,18 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     links = scratch.keep(own_links.distinct(), "links")
     groups = None
     for pivots in (1, PIVOTS, 0):
-        pairs = scratch.keep(_pairs(members, groups, pivots, first, scratch), "pairs")
+        if pivots:
+            pairs = scratch.keep(_pairs(members, groups, pivots), "pairs")
+        else:
+            pairs = scratch.keep(_close_pairs(_grouped(members, groups), first, scratch), "close")
         if pairs.isEmpty():
             continue
-        found = scratch.keep(_with_texts(pairs, texts, classes).mapInArrow(verify, "a long, b long"), "verified")
+        if pivots:
+            found = _with_texts(pairs, texts, classes).mapInArrow(verify, "a long, b long")
+        else:
+            tiles = pairs.join(_texts_of(pairs.select("id"), texts, classes).withColumnRenamed("doc_id", "id"), "id")
+            found = tiles.groupBy("band", "hash", "low", "high").applyInPandas(verify_tile, "a long, b long")
+        found = scratch.keep(found, "verified")
         links = links.unionByName(found)
         groups = components(links, scratch)
     if groups is None:
@@ -293,19 +370,21 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return add_columns(named, class_id=F.col("__class"), kept=kept).drop("__class", "__id")
 
 
-def _pairs(members: DataFrame, groups: DataFrame | None, pivots: int, signed: DataFrame, scratch: Scratch) -> DataFrame:
-    """Pairs (a, b) to verify, each once: members of a bucket with its pivots, or close ones.
+def _grouped(members: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """`members` with the `component` their document is in so far."""
+    if groups is None:
+        return members.withColumn("component", F.col("id"))
+    component = groups.select(F.col("node").alias("id"), "component")
+    return members.join(component, "id", "left").withColumn("component", F.coalesce("component", "id"))
+
 
-    `pivots` is the number of pivots of a bucket, the smallest ids of as many hash classes; 0
-    stands for `_close_pairs`. With `groups`, only pairs of different components count.
+def _pairs(members: DataFrame, groups: DataFrame | None, pivots: int) -> DataFrame:
+    """Pairs (a, b) to verify, each once: members of a bucket with its pivots.
+
+    `pivots` is the number of pivots of a bucket, the smallest ids of as many hash classes.
+    With `groups`, only pairs of different components count.
     """
-    if groups is not None:
-        component = groups.select(F.col("node").alias("id"), "component")
-        members = members.join(component, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    else:
-        members = members.withColumn("component", F.col("id"))
-    if not pivots:
-        return _close_pairs(members, signed, scratch)
+    members = _grouped(members, groups)
     salt = F.pmod(F.xxhash64("id"), F.lit(pivots))
     chosen = members.groupBy("band", "hash", salt.alias("salt")).agg(
         F.min_by(F.struct("id", "component"), "id").alias("p")
@@ -316,15 +395,17 @@ def _pairs(members: DataFrame, groups: DataFrame | None, pivots: int, signed: Da
 
 
 def _close_pairs(members: DataFrame, signed: DataFrame, scratch: Scratch) -> DataFrame:
-    """Pairs of different components that share a bucket and at least `AGREE` samples.
+    """Documents of different components that share a bucket and at least `AGREE` samples.
 
-    A bucket is compared in tiles of at most TILE_ROWS by TILE_ROWS documents, whose samples
-    are bytes; only pairs that agree leave the task, each from the first bucket it shares.
+    A bucket is compared in tiles of two blocks of about TILE_ROWS documents or TILE_BYTES of
+    text. A row is a document in a tile, with the ids it agrees with there (`others`); a pair
+    is listed once, in the first bucket it shares, and both its documents have a row.
     """
     open_ = members.groupBy("band", "hash").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("count")
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        F.greatest(F.count("*") / TILE_ROWS, F.sum("size") / TILE_BYTES).alias("share"),
     )
-    open_ = open_.filter("low < high").select("band", "hash", F.ceil(F.col("count") / TILE_ROWS).cast("int").alias("blocks"))
+    open_ = open_.filter("low < high").select("band", "hash", F.ceil("share").cast("int").alias("blocks"))
     rows = members.join(scratch.keep(open_, "open"), ["band", "hash"])
     own = signed.select(F.col("doc_id").alias("id"), "bands", "samples")
     rows = rows.join(own, "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
@@ -332,7 +413,7 @@ def _close_pairs(members: DataFrame, signed: DataFrame, scratch: Scratch) -> Dat
     rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
 
     def agree(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        band, _, low, high = (int(k) for k in key)
+        band, bucket, low, high = (int(k) for k in key)
         left, right = frame[frame["block"] == low], frame[frame["block"] == high]
         found = [np.zeros((0, 2), np.int64)]
         if len(left) and len(right):
@@ -348,10 +429,17 @@ def _close_pairs(members: DataFrame, signed: DataFrame, scratch: Scratch) -> Dat
                     first &= own_ids[i] > ids[j]
                 found.append(np.stack([own_ids[i[first]], ids[j[first]]], axis=1))
         pairs = np.concatenate(found)
-        return pd.DataFrame({"a": pairs.max(axis=1, initial=-(2**63)), "b": pairs.min(axis=1, initial=2**63 - 1)})
+        pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+        own_ids, starts = np.unique(pairs[:, 0], return_index=True)
+        others = np.split(pairs[:, 1], starts[1:]) if len(pairs) else []
+        alone = np.setdiff1d(pairs[:, 1], own_ids)
+        others += [np.zeros(0, np.int64)] * len(alone)
+        rows = pd.DataFrame({"id": np.append(own_ids, alone), "others": pd.Series(others, dtype=object)})
+        return rows.assign(band=band, hash=bucket, low=low, high=high)
 
     chosen = rows.select("band", "hash", "low", "high", "block", "id", "component", "bands", "samples")
-    return chosen.groupBy("band", "hash", "low", "high").applyInPandas(agree, "a long, b long").distinct()
+    tiles = chosen.groupBy("band", "hash", "low", "high")
+    return tiles.applyInPandas(agree, "band int, hash long, low int, high int, id long, others array<long>")
 
 
 def _columns(frame: pd.DataFrame) -> tuple[np.ndarray, ...]:
@@ -359,13 +447,18 @@ def _columns(frame: pd.DataFrame) -> tuple[np.ndarray, ...]:
     return frame["id"].to_numpy(), samples, frame["component"].to_numpy(), np.stack(frame["bands"].to_list())
 
 
-def _with_texts(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
-    """`pairs` with `text_a` and `text_b`, those of one pivot b after another."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
+def _texts_of(ids: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """`doc_id` and the `text` that is compared, of the documents whose ids the one column of `ids` holds."""
+    ids = ids.toDF("doc_id").distinct()
     few = ids.count() <= BROADCAST_IDS
     needed = texts.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
     needed = needed.join(classes.withColumnRenamed("node", "doc_id"), ["h1", "h2", "doc_id"], "left_semi") if not few else needed
-    needed = needed.groupBy("doc_id").agg(F.min("text").alias("text"))
+    return needed.groupBy("doc_id").agg(F.min("text").alias("text"))
+
+
+def _with_texts(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """`pairs` with `text_a` and `text_b`, those of one pivot b after another."""
+    needed = _texts_of(pairs.select("a").union(pairs.select("b")), texts, classes)
     one = needed.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     other = needed.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     joined = pairs.join(one, "a").join(other, "b")

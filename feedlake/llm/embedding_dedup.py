@@ -5,6 +5,8 @@ projection; vectors close to a cut go to both sides (spill), so that few near pa
 and many trees make up for those that are. The cuts are fitted on a bounded sample of distinct
 vectors (`FIT_ROWS`); every vector is indexed. Levels below those the sample can support split
 at the sample's mean in the leaf, so the trees deepen with the table and leaves stay small.
+A node is not cut where a good part of its sampled pairs (`DENSE`) link: cuts would go through
+a dense group again and again and part its links in every tree.
 
 Within a leaf all pairs are verified by exact cosine, as products of blocks: a leaf of more
 than `LEAF_ROWS` vectors is dealt out as tiles of blocks. A tile does not write its pairs. It
@@ -34,12 +36,15 @@ TREES = 8
 #: Half width of the spill, in standard deviations of the projections in the node.
 SPILL = 0.08
 CHUNK = 256
+#: A node is a leaf if this share of its pairs link, judged by so many of its sample vectors. A
+#: group that holds every median, half of the node, has a quarter of the pairs.
+DENSE, DENSE_ROWS = 0.2, 256
 
 
 class Tree:
     """Directions for each level; cut and spill for each node, and for each deep level and leaf."""
 
-    def __init__(self, sample: np.ndarray, depth: int, seed: int):
+    def __init__(self, sample: np.ndarray, depth: int, seed: int, threshold: float):
         rng = np.random.default_rng(seed)
         self.directions = rng.standard_normal((depth, sample.shape[1]))
         self.directions /= np.linalg.norm(self.directions, axis=1, keepdims=True)
@@ -47,13 +52,18 @@ class Tree:
         self.top = max(0, min(depth, int(math.log2(max(1, len(sample) / NODE_ROWS)))))
         self.cuts: list[np.ndarray] = []
         node = np.zeros(len(sample), np.int64)
+        whole = np.zeros(1, bool)
         for level in range(depth):
             count = 1 << min(level, self.top)
             cut, width = np.zeros(count), np.zeros(count)
             values = projected[:, level]
+            if level <= self.top:
+                whole = np.array([_dense(sample[np.flatnonzero(node == one)[:DENSE_ROWS]], threshold) for one in range(count)])
             for one in range(count):
                 own = values[node == one]
-                if len(own):
+                if whole[one]:
+                    cut[one] = np.inf  # all rows stay on one side, at all levels below as well
+                elif len(own):
                     cut[one] = np.median(own) if level < self.top else own.mean()
                     width[one] = SPILL * own.std()
             self.cuts.append(np.stack([cut, width]))
@@ -76,6 +86,12 @@ class Tree:
         return row, node
 
 
+def _dense(unit: np.ndarray, threshold: float) -> bool:
+    """Whether at least `DENSE` of the pairs of these rows link."""
+    n = len(unit)
+    return n > 1 and np.count_nonzero(np.triu(unit @ unit.T >= threshold, 1)) >= DENSE * n * (n - 1) / 2
+
+
 def _unit(vectors: np.ndarray) -> np.ndarray:
     largest = np.abs(vectors).max(axis=1, keepdims=True)
     scaled = vectors / largest
@@ -86,13 +102,12 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.array(vectors.tolist(), np.float64)
 
 
-def _fit(spark: SparkSession, distinct: DataFrame, dim: int, rows: int, trees: int) -> list[Tree]:
+def _fit(spark: SparkSession, distinct: DataFrame, dim: int, rows: int, trees: int, threshold: float) -> list[Tree]:
     """A forest on the `FIT_ROWS` vectors of smallest hash; all of them if there are fewer."""
     sample = distinct.filter(F.col("dim") == dim).orderBy(F.xxhash64("vector"), "vec_id").limit(FIT_ROWS)
     unit = _unit(_matrix(sample.select("vector").toPandas()["vector"]))
     depth = max(0, math.ceil(math.log2(rows / TARGET_ROWS)))
-    return [Tree(unit, depth, 1000 * dim + t) for t in range(trees)]
-
+    return [Tree(unit, depth, 1000 * dim + t, threshold) for t in range(trees)]
 
 
 def _compare(left: pd.DataFrame, right: pd.DataFrame, tree: int, leaf: int, threshold: float, same: bool) -> pd.DataFrame:
@@ -105,16 +120,8 @@ def _compare(left: pd.DataFrame, right: pd.DataFrame, tree: int, leaf: int, thre
     counts_a, counts_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
     copies_a, copies_b = left["copies"].to_numpy(), right["copies"].to_numpy()
     offset = 0 if same else len(a)
-    parent = np.arange(offset + len(b))
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    seen = [[{*own} for own in row] for row in left["leaves"]], [[{*own} for own in row] for row in right["leaves"]]
-    codes_a, codes_b = _first_codes(left["leaves"]), _first_codes(right["leaves"])
+    label = np.arange(offset + len(b))
+    leaves_a, leaves_b = _leaf_columns(left["leaves"], tree), _leaf_columns(right["leaves"], tree)
     for at in range(0, len(a), CHUNK):
         product = a[at : at + CHUNK] @ b.T
         rows, cols = np.nonzero(product >= threshold)
@@ -124,38 +131,47 @@ def _compare(left: pd.DataFrame, right: pd.DataFrame, tree: int, leaf: int, thre
             rows, cols = rows[upper], cols[upper]
         if not len(rows):
             continue
-        new = np.ones(len(rows), bool)
-        # in one pass for rows with one leaf a tree, pair by pair for the few that spilled
-        plain = codes_a[1][rows] & codes_b[1][cols]
-        shared = (codes_a[0][rows][:, :tree] == codes_b[0][cols][:, :tree]).any(axis=1)
-        new[plain] = ~shared[plain]
-        for i in np.flatnonzero(~plain):
-            x, y = seen[0][rows[i]], seen[1][cols[i]]
-            new[i] = _first_common(x, y) == (tree, leaf)
-        np.add.at(counts_a, rows[new], copies_b[cols[new]])
-        np.add.at(counts_b, cols[new], copies_a[rows[new]])
-        for i, j in zip(rows, cols, strict=True):
-            x, y = find(i), find(offset + j)
-            if x != y:
-                parent[max(x, y)] = min(x, y)
+        new = ~_shared_before(leaves_a, leaves_b, rows, cols, leaf)
+        counts_a += np.bincount(rows[new], copies_b[cols[new]], len(a)).astype(np.int64)
+        counts_b += np.bincount(cols[new], copies_a[rows[new]], len(b)).astype(np.int64)
+        # rows ascend: each row's links join what they reach, the smallest place is the label
+        first = np.flatnonzero(np.diff(rows, prepend=-1))
+        for row, linked in zip(rows[first].tolist(), np.split(cols, first[1:]), strict=True):
+            reached = label[offset + linked]
+            if (reached != label[row]).any():
+                joined = np.unique(np.append(reached, label[row]))
+                label[np.isin(label, joined)] = joined[0]
     ids = ids_b if same else np.concatenate([ids_a, ids_b])
     counts = counts_a + counts_b if same else np.concatenate([counts_a, counts_b])
-    roots = ids[[find(x) for x in range(len(parent))]]
+    roots = ids[label]
     out = pd.DataFrame({"vec_id": ids, "links": counts, "root": roots})
     return out[(out["links"] > 0) | (out["vec_id"] != out["root"])]
 
 
-def _first_codes(leaves: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    """First leaf in each tree, and whether that is the only one in every tree."""
-    first = np.array([[own[0] for own in row] for row in leaves], np.int64)
-    return first, np.array([all(len(own) == 1 for own in row) for row in leaves])
-
-
-def _first_common(x: list[set], y: list[set]) -> tuple[int, int] | None:
-    for tree, (p, q) in enumerate(zip(x, y, strict=True)):
-        if both := p & q:
-            return tree, min(both)
-    return None
+def _leaf_columns(leaves: pd.Series, tree: int) -> list[np.ndarray]:
+    """For each tree up to `tree` the leaves of every row, -1 where a row has fewer."""
+    columns = []
+    for t in range(tree + 1):
+        own = [row[t] for row in leaves]
+        table = np.full((len(own), max(map(len, own))), -1, np.int64)
+        for i, places in enumerate(own):
+            table[i, : len(places)] = places
+        columns.append(table)
+    return columns
+
+
+def _shared_before(a: list[np.ndarray], b: list[np.ndarray], rows: np.ndarray, cols: np.ndarray, leaf: int) -> np.ndarray:
+    """Whether pairs share a leaf of an earlier tree, or one before `leaf` in the last of them."""
+    found = np.zeros(len(rows), bool)
+    for t, (x, y) in enumerate(zip(a, b, strict=True)):
+        for p in range(x.shape[1]):
+            left = np.flatnonzero(~found)
+            own = x[rows[left], p]
+            some = (own >= 0) & (own < leaf) if t == len(a) - 1 else own >= 0
+            left, own = left[some], own[some]
+            for q in range(y.shape[1]):
+                found[left[own == y[cols[left], q]]] = True
+    return found
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.95, trees: int = TREES) -> DataFrame:
@@ -180,7 +196,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, trees: int = TR
     distinct = ids.join(classes, ["h1", "h2", "vec_id"]).select("vec_id", "vector", "copies", F.size("vector").alias("dim"))
     distinct = scratch.keep(distinct, "distinct")
     dims = {r["dim"]: r["count"] for r in distinct.groupBy("dim").count().collect()}
-    forest = {dim: _fit(spark, distinct, dim, rows, trees) for dim, rows in dims.items()}
+    forest = {dim: _fit(spark, distinct, dim, rows, trees, threshold) for dim, rows in dims.items()}
 
     def index(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

@@ -303,6 +303,23 @@ def test_embedding_near_duplicates(spark, monkeypatch):
             assert (r.n_links, r.component_id, r.kept) == (0, r.vec_id, True)
 
 
+def test_embedding_links_of_a_dense_group():
+    """A third of a million rows, 650 leaves of them, at a mean cosine of 0.99: links that meet in a leaf."""
+    rng = np.random.default_rng(8)
+    group = rng.standard_normal(64) + rng.standard_normal((8000, 64)) * 0.1
+    unit = embedding_dedup._unit(np.concatenate([group, rng.standard_normal((16_000, 64))]))
+    sample = unit[rng.permutation(len(unit))[: embedding_dedup.FIT_ROWS]]
+    depth = math.ceil(math.log2(1_000_000 / embedding_dedup.TARGET_ROWS))
+    rows = unit[:600]
+    near, met = rows @ rows.T >= 0.95, np.zeros((600, 600), bool)
+    for seed in range(embedding_dedup.TREES):
+        row, leaf = embedding_dedup.Tree(sample, depth, seed, 0.95).leaves(rows)
+        places = np.zeros((600, 1 << depth), np.float32)
+        places[row, leaf] = 1
+        met |= places @ places.T > 0
+    assert (near & met).sum() >= 0.9 * near.sum(), (near & met).sum() / near.sum()
+
+
 # -- language model ----------------------------------------------------------------------
 
 

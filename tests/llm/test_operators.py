@@ -350,6 +350,16 @@ def test_lm_rare_words_meet_their_counts(docs, monkeypatch):
         assert a.n_known == b.n_known and math.isclose(a.base_score, b.base_score, rel_tol=1e-9)
 
 
+def test_lm_score_of_rare_words(docs, monkeypatch):
+    held = id_remainder("doc_id", 7) == 2
+    key = lambda r: (str(r.doc_id), r.n_tokens, r.score)
+    all_known = sorted(lm.score_texts(docs, ~held).collect(), key=key)
+    monkeypatch.setattr(lm, "HEAD", 5)
+    few_known = sorted(lm.score_texts(docs, ~held).collect(), key=key)
+    for a, b in zip(all_known, few_known, strict=True):
+        assert math.isclose(a.score, b.score, rel_tol=1e-9), (a, b)
+
+
 def test_attention_gradients_and_causality():
     from feedlake.llm import attention
 

@@ -360,6 +360,13 @@ def test_lm_score_of_rare_words(docs, monkeypatch):
         assert math.isclose(a.score, b.score, rel_tol=1e-9), (a, b)
 
 
+def test_lm_followers_of_all_training_documents(docs, monkeypatch):
+    seen = []
+    monkeypatch.setattr(lm, "Vocabulary", lambda counts, pairs, own=lm.Vocabulary: seen.append((counts.sum(), pairs.sum())) or own(counts, pairs))
+    lm.score_texts(docs, F.col("doc_id") >= 0)
+    assert seen[0][0] == seen[0][1] > 0
+
+
 def test_attention_gradients_and_causality():
     from feedlake.llm import attention
 

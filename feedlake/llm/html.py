@@ -179,8 +179,8 @@ def _is_article(node: Node) -> bool:
     return node.tag in ("article", "main") or "main" in node.attribute("role") or "articleBody" in node.attribute("itemprop")
 
 
-def countable(page: str) -> list[int]:
-    """Distinct hashes of the subtrees of a page that may be template: those with any text."""
+def countable(page: str) -> tuple[int, list[int]]:
+    """Hash of a page's content, and the distinct hashes of its subtrees that may be template."""
     nodes = hash_subtrees(parse(page))
     inside: dict[int, bool] = {}
     found = set()
@@ -189,7 +189,7 @@ def countable(page: str) -> list[int]:
         if node.parent is None or node.tag in VOID or node.tag in ("html", "body") or inside[id(node)] and node.tag in PROSE:
             continue
         found.add(_signed(node.digest))
-    return sorted(found)
+    return _signed(nodes[0].digest), sorted(found)
 
 
 def _boilerplate(node: Node, inside: bool) -> bool:
@@ -267,8 +267,8 @@ def main_text(page: str, template: frozenset[int]) -> str:
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """`pages` with `text` (main text, empty if none) and `n_chars` (its code points).
 
-    A NULL page is empty. Pages whose url has no host count as one host of their own. Equal
-    rows count as two pages. White space is one space everywhere, as blocks are joined by one
+    A NULL page is empty. Pages whose url has no host count as one host of their own. Pages
+    of a host with the same content (elements, classes, ids, text) count as one. White space is one space everywhere, as blocks are joined by one
     as well. Input columns `text` and `n_chars` are replaced, all others stay.
 
     Template subtrees of a host are at most as many as its pages have subtrees on average,
@@ -281,15 +281,22 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, hashes = [], []
+            hosts, contents, hashes = [], [], []
             for name, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = countable(page)
-                hashes += own
-                hosts += [name] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], names=["host", "subtree"])
-
-    counts = narrow.mapInArrow(hashed, "host string, subtree long").groupBy("host", "subtree").count()
-    sizes = narrow.groupBy("host").agg(F.count("*").alias("pages"))
+                content, own = countable(page)
+                hosts.append(name)
+                contents.append(content)
+                hashes.append(own)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hosts, pa.string()), pa.array(contents, pa.int64()), pa.array(hashes, pa.list_(pa.int64()))],
+                names=["host", "content", "subtrees"],
+            )
+
+    # copies of a page are one: its own content is no template
+    contents = narrow.mapInArrow(hashed, "host string, content long, subtrees array<long>")
+    contents = scratch.keep(contents.groupBy("host", "content").agg(F.max("subtrees").alias("subtrees")), "contents")
+    counts = contents.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree").count()
+    sizes = contents.groupBy("host").agg(F.count("*").alias("pages"))
     frequent = scratch.keep(counts.filter(F.col("count") >= min_pages), "frequent")
     template = (
         frequent.join(scratch.keep(sizes.filter(F.col("pages") >= min_pages), "hosts"), "host")

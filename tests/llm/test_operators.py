@@ -250,6 +250,13 @@ def test_html_template_of_a_host(spark):
     assert (found[30].text, found[30].n_chars, found[31].text) == ("", 0, "x")
 
 
+def test_html_copies_of_a_page(spark):
+    body = lambda i: f"<div class=k>Welcome to the shop</div><article><div class=body><p>Story {i} {prose(i, 9)}</p></div></article>"
+    rows = [page(body(i if i > 5 else 0), number=i) for i in range(16)]
+    found = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert all(r.text == f"Story {r.page_id if r.page_id > 5 else 0} {prose(r.page_id if r.page_id > 5 else 0, 9)}" for r in found)
+
+
 def test_html_of_the_tables(spark, sf_dir):
     for r in html.extract(spark.read.parquet(f"{sf_dir}/pages.parquet")).collect():
         article = re.search(r"<article>(.*)</article>", r.html, re.S)[1]

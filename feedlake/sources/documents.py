@@ -7,15 +7,21 @@ layouts, documents may contain line breaks, and large files of many documents st
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.functions import names
+from feedlake.sources import decode, objects
 from feedlake.sources.schemas import feed_ddl
 
 RECORD_SEPARATOR = "\u001e"
-VALID, MALFORMED, NO_DAYS, EMPTY = "valid", "malformed", "no_days", "empty"
+VALID, MALFORMED, NO_DAYS, EMPTY, UNREADABLE = "valid", "malformed", "no_days", "empty", "unreadable"
+#: Bytes of an object read in one piece; a piece goes on to the end of its last document.
+PIECE = 64 * 1024 * 1024
+#: Names of packed objects, which are read whole.
+PACKED = r"\.(gz|bz2|zst|lz4)$"
+ORIGIN = ["file_path", "object_name", "landed_at"]
+READ = "file_path STRING, object_name STRING, landed_at TIMESTAMP, document STRING, error STRING"
 
 
 class RejectedDocuments(ValueError):
@@ -44,45 +50,60 @@ def land_documents(documents: DataFrame, landing: str, prefix: str = "neo") -> N
 
 
 def list_objects(spark: SparkSession, landing: str) -> DataFrame:
-    """All objects below a directory: `file_path`, `object_name`, `landed_at`.
+    """All objects below a directory: `file_path`, `object_name`, `landed_at`, `length`.
 
-    Only file metadata is asked for, so no content is read. A directory that does not exist
-    yet holds no objects. Objects of no bytes are listed as well, though no reader shows them.
+    Listed in tasks, empty objects included; no content is read. A directory that does not
+    exist yet holds no objects.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    try:
-        files = reader.load(landing)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        schema = "file_path STRING, object_name STRING, landed_at TIMESTAMP"
-        return spark.createDataFrame([], schema)
-    listed = files.select(*_origin())
-    empty = _empty_objects(spark, files)
-    return listed if empty is None else listed.unionByName(empty)
-
-
-def _empty_objects(spark: SparkSession, files: DataFrame) -> DataFrame | None:
-    """Objects of no bytes, None if there are none: listed files that give no row.
-
-    The names come to the driver, which has listed them, only if there are fewer rows than
-    files, and their time stamps one by one.
-    """
-    listed = files._jdf.inputFiles()
-    if len(listed) == files.select("path").count():
-        return None
-    paths = spark.createDataFrame([(p,) for p in listed], "file_path STRING")
-    seen = files.select(F.col("_metadata.file_path").alias("file_path"))
-    rows = []
-    for row in paths.join(seen, "file_path", "left_anti").collect():
-        at = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row.file_path))
-        status = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getFileStatus(at)
-        rows.append((row.file_path, status.getModificationTime()))
-    found = spark.createDataFrame(rows, "file_path STRING, millis BIGINT")
+    return named(objects.listing(spark, landing))
+
+
+def stream_objects(spark: SparkSession, landing: str, settle: float = objects.SETTLE) -> DataFrame:
+    """The same as a stream of arrivals; a replaced object arrives again."""
+    return named(objects.arrivals(spark, landing, settle))
+
+
+def named(listed: DataFrame) -> DataFrame:
     path = F.col("file_path")
-    return found.select(
-        path, names.name_in_path(path).alias("object_name"), F.timestamp_millis("millis").alias("landed_at")
+    return listed.select(path, names.name_in_path(path).alias("object_name"), "landed_at", "length")
+
+
+def read_objects(listed: DataFrame, landing: str) -> DataFrame:
+    """Documents of listed objects: `document`, `file_path`, `object_name`, `landed_at`, `error`.
+
+    Objects are dealt to tasks in pieces of PIECE bytes, by count and bytes, and opened there, so
+    neither their names pass through the driver nor does one large object go into one task.
+    What cannot be opened or unpacked gives a row with `error` in place of its remaining
+    documents, and no other object is touched by that. Documents of such an object may stand
+    among the rows as well; leave them out by `file_path`.
+    """
+    spark = listed.sparkSession
+    root = objects.qualified(spark, landing)
+    if not objects.reachable(root):
+        return _read_by_spark(listed, landing)
+    packed = F.lower("file_path").rlike(PACKED)
+    starts = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(PIECE))
+    pieces = listed.filter(F.col("length") > 0).select(
+        *ORIGIN,
+        F.explode(F.when(packed, F.array(F.lit(0).cast("bigint"))).otherwise(starts)).alias("start"),
+        F.when(~packed, PIECE).alias("size"),
     )
+    total, count = listed.select(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).head()
+    tasks = max(1, min(count + total // PIECE, max(spark.sparkContext.defaultParallelism, total // PIECE)))
+    opened = pieces.repartition(int(tasks), "file_path", "start")
+    return opened.mapInArrow(decode.reader(root), READ).select("document", *ORIGIN, "error")
+
+
+def _read_by_spark(listed: DataFrame, landing: str) -> DataFrame:
+    """For stores pyarrow does not know: Spark reads the bytes of everything since the oldest
+    object asked for, one object a row, and tasks unpack them."""
+    spark = listed.sparkSession
+    oldest = listed.select(F.date_format(F.to_utc_timestamp(F.min("landed_at"), F.current_timezone()) - F.expr("INTERVAL 1 SECOND"), "yyyy-MM-dd'T'HH:mm:ss")).head()[0]
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("timeZone", "UTC")
+    files = reader.option("modifiedAfter", oldest or "1970-01-01T00:00:00").load(landing)
+    content = files.select(objects.canonical(F.col("path")).alias("file_path"), "content")
+    held = content.join(listed.filter(F.col("length") > 0).select(*ORIGIN), "file_path")
+    return held.select(*ORIGIN, "content").mapInArrow(decode.unpacker(), READ).select("document", *ORIGIN, "error")
 
 
 def read_documents(
@@ -126,7 +147,7 @@ def stream_documents(
 
 
 def _origin() -> list[Column]:
-    path = F.col("_metadata.file_path")
+    path = objects.canonical(F.col("_metadata.file_path"))
     return [
         path.alias("file_path"),
         names.name_in_path(path).alias("object_name"),

@@ -200,39 +200,15 @@ def test_merge_that_never_became_ready_is_dropped(lake, spark):
 
 
 def test_only_pending_files_are_read(lake, spark):
-    from feedlake.streaming import increment
+    from feedlake.sources.documents import read_objects
 
     for i in range(5):
         land(lake.landing, f"neo-2025-05-0{i + 1}_2025-05-0{i + 1}.json", week(f"2025-05-0{i + 1}", "1"))
     lake.batch()
     land(lake.landing, WEEK2, week("2025-05-08", "2"), at=1000)
     objects, done = list_objects(spark, lake.landing), tables.open_table(spark, f"{lake.root}/ledger")
-    pending = pending_objects(objects, done)
-    documents = increment._pending_documents(spark, lake.landing, pending, objects, done)
-    assert len(documents.inputFiles()) == 1
-
-
-def test_pending_by_windows_equals_by_names(lake, spark, monkeypatch):
-    from feedlake.streaming import increment
-
-    monkeypatch.setattr(increment, "NAMED_PATHS", 0)
-    land(lake.landing, WEEK1, week("2025-05-01", "1"), at=5_000_000)
-    lake.batch()
-    land(lake.landing, WEEK2, week("2025-05-08", "2"), at=1000)
-    land(lake.landing, "neo-2025-05-15_2025-05-21.json", week("2025-05-15", "3"), at=5_000_000)
-    lake.batch()
-    assert [r[1] for r in lake.silver()] == ["1", "2", "3"]
-
-
-def test_windows_are_parted_at_the_widest_gaps():
-    from datetime import datetime, timedelta
-
-    from feedlake.streaming.increment import windows
-
-    hours = [datetime(2025, 1, 1) + timedelta(hours=h) for h in (0, 1, 5, 6, 100)]
-    assert windows(hours, 2) == [(hours[0], hours[3]), (hours[4], hours[4])]
-    assert windows(hours, 16) == [(hours[0], hours[1]), (hours[2], hours[3]), (hours[4], hours[4])]
-    assert windows(hours[:1], 16) == [(hours[0], hours[0])]
+    documents = read_objects(pending_objects(objects, done), lake.landing)
+    assert [r.object_name for r in documents.collect()] == [f"bronze/{WEEK2}"]
 
 
 def test_loads_report_their_rows(lake, spark, caplog):

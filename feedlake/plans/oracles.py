@@ -212,6 +212,17 @@ ORACLES = {
         SELECT CAST(turn AS INTEGER) AS turn, job,
                CASE WHEN turn = 1 THEN (SELECT count(*) FROM ({SILVER_ONCE})) ELSE 0 END AS row_count
         FROM range(1, 3) t(turn) CROSS JOIN (VALUES ('silver'), ('gold')) j(job)""",
+    "broken_objects": f"""
+        WITH w AS (SELECT DISTINCT (CAST(o_orderdate AS DATE) - DATE '1992-01-01') // 7 AS week FROM orders),
+             s AS (SELECT (observation_date - DATE '1992-01-01') // 7 AS week, count(*) AS n
+                   FROM ({SILVER_ONCE}) GROUP BY 1),
+             o AS (SELECT week, CASE WHEN week % 8 IN (3, 7) THEN 'empty' WHEN week % 8 = 6 THEN 'unreadable'
+                                     ELSE 'loaded' END AS outcome FROM w)
+        SELECT outcome, CAST(CASE outcome WHEN 'unreadable' THEN 2 ELSE 0 END AS BIGINT) AS attempts,
+               count(*) AS weeks,
+               CAST(coalesce(sum(n) FILTER (outcome = 'loaded'), 0) AS BIGINT) AS silver_rows
+        FROM o LEFT JOIN s USING (week) GROUP BY outcome""",
+    "bounded_loads": SILVER_ONCE.replace("FROM orders JOIN", f"FROM {RAISED} JOIN"),
     "stored_date_bounds": _gold("min(observation_date) AS first_date, max(observation_date) AS last_date"),
     "stored_miss_distance": f"""
         {_gold("name, miss_distance_ld")} WHERE observation_date = DATE '1995-02-18'""",

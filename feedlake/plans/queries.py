@@ -16,6 +16,7 @@ from feedlake.plans import jobs, synthetic
 from feedlake.sources import tables
 from feedlake.sources.documents import (
     land_documents,
+    land_objects,
     list_objects,
     parse_documents,
     valid_documents,
@@ -28,7 +29,7 @@ from feedlake.sources.schemas import (
     SILVER_COLUMNS,
     VELOCITY_COLUMNS,
 )
-from feedlake.streaming.increment import pending_objects, read_rejected
+from feedlake.streaming.increment import Bound, attempts_of, failed_objects, pending_objects, read_rejected
 
 NAMESPACE = "feedlake_queries"
 CALENDAR = (date(1992, 1, 1), date(2002, 12, 31))
@@ -291,6 +292,60 @@ def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "turn INT, job STRING, row_count BIGINT")
 
 
+def broken_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain, packed, broken and empty objects, one for each document, in two loads.
+
+    Some of the broken ones are replaced by good ones in between. For each outcome: attempts
+    made in vain, weeks whose objects ended so, and silver rows of these weeks.
+    """
+    root = tables.scratch(spark, "broken")
+    landing, week = f"{root}/bronze", synthetic.week_of(F.col("start_date"))
+    documents = tables.keep(synthetic.feed_documents(spark, sf_dir), f"{root}/documents")
+
+    def objects(packed: bool, content: Column) -> DataFrame:
+        name = names.file_name(F.col("start_date"), F.col("end_date"))
+        folder = F.concat(F.md5("document"), F.lit("/"))
+        name = F.concat(folder, name, F.lit(".gz")) if packed else F.concat(folder, name)
+        return documents.select(F.pmod(week, F.lit(8)).alias("kind"), name.alias("object_name"), content.alias("content"))
+
+    plain, packed = objects(False, F.col("document")), objects(True, F.col("document"))
+    land_objects(plain.filter("kind IN (0, 4)"), landing)
+    land_objects(packed.filter("kind IN (1, 5)"), landing, pack=True)
+    land_objects(packed.filter("kind IN (2, 6)"), landing)
+    land_objects(objects(False, F.lit("")).filter("kind IN (3, 7)"), landing)
+    silver, rejected, ledger = f"{root}/silver", f"{root}/rejected", f"{root}/ledger"
+    for _ in range(2):
+        jobs.bronze_to_silver(spark, landing, silver, rejected, ledger, "broken", tables.MONTH)
+        land_objects(packed.filter("kind = 2"), landing, pack=True)
+    failed = failed_objects(spark, attempts_of(ledger)).select("file_path", "attempts")
+    empty = read_rejected(spark, rejected).filter("status = 'empty'").select("file_path", F.lit(True).alias("empty"))
+    loaded = spark.read.parquet(ledger).select("file_path", F.lit(True).alias("loaded"))
+    seen = coverage.ranges_in_names(list_objects(spark, landing))
+    for state in (failed, empty.distinct(), loaded.distinct()):
+        seen = seen.join(state, "file_path", "left")
+    outcome = F.when(F.col("attempts") > 0, "unreadable").when(F.col("empty"), "empty").when(F.col("loaded"), "loaded")
+    weeks = seen.groupBy(week.alias("week")).agg(F.min(outcome).alias("outcome"), F.max("attempts").alias("attempts"))
+    rows = tables.read_table(spark, silver).groupBy(synthetic.week_of(F.col("observation_date")).alias("week")).agg(F.count("*").alias("n"))
+    return weeks.join(rows, "week", "left").groupBy("outcome").agg(
+        F.coalesce(F.max("attempts"), F.lit(0)).alias("attempts"),
+        F.count("*").alias("weeks"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("silver_rows"),
+    )
+
+
+def bounded_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges landed in three versions, loaded oldest first by a quarter of their bytes at a time."""
+    root, landing = _landed(spark, sf_dir)
+    for raised in (3, 5):
+        land_documents(synthetic.feed_documents(spark, sf_dir, raised), landing)
+    total = list_objects(spark, landing).agg(F.sum("length")).head()[0]
+    jobs.bronze_to_silver(
+        spark, landing, f"{root}/silver", f"{root}/rejected", f"{root}/ledger", "bounded", tables.MONTH,
+        Bound(bytes=-(-total // 4)),
+    )
+    return tables.read_table(spark, f"{root}/silver").select(*SILVER_COLUMNS)
+
+
 # -- views ------------------------------------------------------------------------------
 
 
@@ -356,6 +411,8 @@ CATALOGUE = {
     "arrival_order": arrival_order,
     "rejected_documents": rejected_by_two_loads,
     "load_report": load_report,
+    "broken_objects": broken_objects,
+    "bounded_loads": bounded_loads,
     "stored_date_bounds": stored_date_bounds,
     "stored_miss_distance": stored_miss_distance,
     "stored_velocity_histogram": stored_velocity_histogram,

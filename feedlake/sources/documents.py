@@ -49,6 +49,22 @@ def land_documents(documents: DataFrame, landing: str, prefix: str = "neo") -> N
     )
 
 
+def land_objects(contents: DataFrame, landing: str, pack: bool = False) -> int:
+    """Put every row as an object of its own: `object_name` (below `landing`), `content`.
+
+    Bytes land unchanged, or packed as the name says with `pack`; an object of that name is
+    replaced. Tasks write, so contents never pass through the driver. Returns their number.
+    """
+    spark = contents.sparkSession
+    root = objects.qualified(spark, landing)
+    if not objects.reachable(root):
+        raise ValueError(f"objects cannot be put into {root} one by one; use land_documents")
+    rows = contents.select("object_name", F.col("content").cast("binary").alias("content"))
+    if pack:
+        rows = rows.mapInArrow(decode.packer(), "object_name STRING, content BINARY")
+    return rows.mapInArrow(decode.writer(root), "object_name STRING").count()
+
+
 def list_objects(spark: SparkSession, landing: str) -> DataFrame:
     """All objects below a directory: `file_path`, `object_name`, `landed_at`, `length`.
 

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedlake.llm.common import add_columns
 from feedlake.llm.words import Hasher, mix, slices
@@ -125,7 +126,7 @@ class Field:
         for t in range(places - 1, -1, -1):
             use = real[:, t]
             both = forward[:, t] * backward
-            out[:, t] = np.where(use[:, None], both / both.sum(axis=1, keepdims=True), 0)
+            out[use, t] = both[use] / both[use].sum(axis=1, keepdims=True)
             later = here[:, t] * backward
             if t:
                 pair = use & real[:, t - 1]
@@ -138,15 +139,6 @@ class Field:
         return out, moved, log
 
 
-def _chains(count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Chains over texts of `count` words: the text of each, its first word's place in the text,
-    and the number of words it labels."""
-    made = -(-count // CHAIN)
-    text = np.repeat(np.arange(len(count)), made)
-    number = np.arange(len(text)) - np.repeat(np.cumsum(made) - made, made)
-    return text, number * CHAIN, np.minimum(count[text] - number * CHAIN, CHAIN)
-
-
 class Labeller:
     """Language probabilities of texts; scores each distinct word of a task once."""
 
@@ -173,21 +165,46 @@ class Labeller:
             self.known, self.scores = known[order], np.concatenate([self.scores, own])[order]
         return self.scores[np.searchsorted(self.known, distinct)][index], bounds
 
-    def texts(self, data: np.ndarray, offsets: np.ndarray, together: int = 4096) -> np.ndarray:
-        """Mean label probabilities of the words of each text (0 everywhere without words)."""
-        scores, bounds = self.words(data, offsets)
+    def chains(self, scores: np.ndarray, bounds: np.ndarray, together: int = 4096) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Of many chains at once: their texts, the words they label (-1: none), and the words'
+        label probabilities."""
         counts = np.diff(bounds)
-        text, first, own = _chains(counts)
-        sums = np.zeros((len(counts), len(self.field.labels)))
+        made = -(-counts // CHAIN)
+        text = np.repeat(np.arange(len(counts)), made)
+        first = (np.arange(len(text)) - np.repeat(np.cumsum(made) - made, made)) * CHAIN
         for at in range(0, len(text), together):
-            part = slice(at, at + together)
-            place = first[part, None] - CONTEXT + np.arange(CHAIN + 2 * CONTEXT)
-            real = (place >= 0) & (place < counts[text[part]][:, None])
-            where = np.where(real, bounds[text[part]][:, None] + place, 0)
-            probability, _, _ = self.field.marginals(scores[where], real)
-            mine = probability[:, CONTEXT : CONTEXT + CHAIN].sum(axis=1)
-            np.add.at(sums, text[part], mine)
-        return sums / np.maximum(counts, 1)[:, None]
+            own = text[at : at + together]
+            place = first[at : at + together, None] - CONTEXT + np.arange(CHAIN + 2 * CONTEXT)
+            real = (place >= 0) & (place < counts[own][:, None])
+            word = np.where(real, bounds[own][:, None] + place, -1)
+            probability, _, _ = self.field.marginals(scores[word], real)
+            yield own, word[:, CONTEXT : CONTEXT + CHAIN], probability[:, CONTEXT : CONTEXT + CHAIN]
+
+    def texts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Mean label probabilities of the words of each text (0 everywhere without words)."""
+        scores, bounds = self.words(data, offsets)
+        sums = np.zeros((len(bounds) - 1, len(self.field.labels)))
+        for text, _, probability in self.chains(scores, bounds):
+            np.add.at(sums, text, probability.sum(axis=1))
+        return sums / np.maximum(np.diff(bounds), 1)[:, None]
+
+    def runs(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Maximal runs of words of one label: text, label, start and end in code points, words,
+        mean probability."""
+        scores, bounds = self.words(data, offsets)
+        _, starts, stops, _ = self.hasher.spans(data, offsets)
+        label, sure = np.zeros(len(scores), np.int64), np.zeros(len(scores))
+        for _, word, probability in self.chains(scores, bounds):
+            own = word >= 0
+            label[word[own]], sure[word[own]] = probability.argmax(axis=2)[own], probability.max(axis=2)[own]
+        text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        first = np.flatnonzero((np.diff(label, prepend=-1) != 0) | (np.diff(text, prepend=-1) != 0))
+        size = np.diff(first, append=len(label))
+        points = np.concatenate([np.zeros(1, np.int64), np.cumsum((data & 0xC0) != 0x80)])
+        of = text[first]
+        begin, end = points[starts[first]] - points[offsets[of]], points[stops[first + size - 1]] - points[offsets[of]]
+        mean = np.add.reduceat(sure, first) / size if len(first) else np.zeros(0)
+        return of, label[first], begin, end, size, mean
 
 
 def _runs(words: list[bytes], identity: int) -> list[list[bytes]]:
@@ -337,3 +354,37 @@ def identify(docs: DataFrame, field: Field) -> DataFrame:
         rows, lang_pred=F.when(known, F.col("__lang")).otherwise(UNKNOWN), score=F.when(known, F.col("__score")).otherwise(0.0)
     )
     return out.drop("__letter", "__lang", "__score")
+
+
+SEGMENTS = T.ArrayType(
+    T.StructType()
+    .add("lang", "string").add("start", "long").add("end", "long").add("words", "long").add("probability", "double")
+)
+
+
+def segments(docs: DataFrame, field: Field) -> DataFrame:
+    """`docs` with `segments`: where each text is in which language.
+
+    Maximal runs of words with one likeliest language, in order, from `start` to `end` (code
+    points, end exclusive); words are runs of ASCII letters and other characters beyond ASCII. A
+    text without words, NULL included, has none. An input column of that name is replaced.
+    """
+    labels = field.labels
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labeller = Labeller(field)
+        kind = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("words", pa.int64()), ("probability", pa.float64())]))
+        for batch in batches:
+            out = []
+            for _, data, offsets in slices(batch.column("text")):
+                own: list[list[dict]] = [[] for _ in range(len(offsets) - 1)]
+                if labels:
+                    for of, label, *rest in zip(*(c.tolist() for c in labeller.runs(data, offsets)), strict=True):
+                        own[of].append(dict(zip(("lang", "start", "end", "words", "probability"), (labels[label], *rest), strict=True)))
+                out += own
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, kind)], names=["row", "segments"])
+
+    packed = docs.select(F.struct("*").alias("row"), F.col("text"))
+    schema = packed.select("row").schema.add("segments", SEGMENTS)
+    rows = packed.mapInArrow(run, schema).select("row.*", F.col("segments").alias("__segments"))
+    return add_columns(rows, segments=F.col("__segments")).drop("__segments")

@@ -181,9 +181,7 @@ def upsert_table(
         raise ValueError(f"partition column {partition_by} must be one of the keys {list(keys)}")
     target = tables.open_table(spark, table)
     if target is None:
-        tables.create_table(source, table, partition_by, grain)
-        created = tables.open_table(spark, table)
-        return _reported(Load(0 if created is None else created.count(), None), table)
+        return _reported(Load(tables.create_table(source, table, partition_by, grain), None), table)
     row_level = tables.has_row_level_catalog(spark, table)
     if not row_level:
         grain = tables.grain_of(target.columns, partition_by)

@@ -175,6 +175,12 @@ ORACLES = {
         SELECT strftime(min(d), '%Y-%m-%d') AS start_date, strftime(max(d), '%Y-%m-%d') AS end_date
         FROM days WHERE d NOT IN (SELECT d FROM covered)
         GROUP BY (d - DATE '1992-01-01') // 7""",
+    "covered_intervals": f"""
+        WITH days AS (
+            SELECT DISTINCT start_date + CAST(i AS INTEGER) AS d FROM ({NAMED}) CROSS JOIN range(7) g(i)
+            WHERE start_date IS NOT NULL AND dayofyear(start_date) % 5 <> 0),
+        numbered AS (SELECT d, d - CAST(row_number() OVER (PARTITION BY year(d) ORDER BY d) AS INTEGER) AS island FROM days)
+        SELECT min(d) AS start_date, max(d) AS end_date FROM numbered GROUP BY year(d), island""",
     "upsert_merge": _merged(TARGET, SOURCE),
     "upsert_partial_columns": _merged(TARGET, SOURCE, ("o_custkey", "o_orderstatus")),
     "upsert_null_keys": _merged(_nulled(TARGET), _nulled(SOURCE)),
@@ -229,6 +235,13 @@ ORACLES = {
     "stored_velocity_histogram": _histogram(
         _gold("velocity_kps AS v") + " WHERE observation_date = DATE '1995-02-18'", 10
     ),
+    "stored_row_counts": f"""
+        SELECT CAST(date_trunc('month', observation_date) AS DATE) AS observation_date_month, count(*) AS row_count
+        FROM ({SILVER_ONCE}) GROUP BY 1""",
+    "sql_surface": f"""
+        WITH day AS (SELECT * FROM ({SILVER_ONCE}) WHERE observation_date = DATE '1995-02-18')
+        SELECT a.asteroid_id, a.epoch_date_close_approach, m.name, m.miss_distance_ld
+        FROM day a JOIN day m ON a.name = m.name AND a.miss_distance_ld IS NOT DISTINCT FROM m.miss_distance_ld""",
     "view_date_bounds": f"""
         SELECT CAST(min(o_orderdate) AS DATE) AS first_date, CAST(max(o_orderdate) AS DATE) AS last_date
         {VIEW_ROWS}""",
@@ -238,3 +251,5 @@ ORACLES = {
     "view_velocity_histogram": _histogram(f"SELECT l_quantity AS v {VIEW_ROWS} WHERE {VIEW_DAY}", 10),
     "histogram_all_days": _histogram(f"SELECT l_extendedprice AS v {VIEW_ROWS}", 25),
 }
+# the same days, whichever way they are kept
+ORACLES["missing_ranges_kept"] = ORACLES["missing_ranges"]

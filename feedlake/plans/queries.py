@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.functions import names
-from feedlake.operators import coverage, views
+from feedlake.operators import coverage, intervals, views
 from feedlake.operators.flatten import analytics, explode_asteroids, explode_days, flatten
 from feedlake.operators.newest import newest_per_key
 from feedlake.operators.upsert import merge_key_violations, merge_upsert, upsert_table
-from feedlake.plans import jobs, synthetic
-from feedlake.sources import tables
+from feedlake.plans import jobs, surface, synthetic
+from feedlake.sources import footers, tables
 from feedlake.sources.documents import (
     land_documents,
     land_objects,
@@ -142,6 +142,23 @@ def missing_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.ranges_to_request(objects, *CALENDAR)
 
 
+def missing_ranges_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same ranges from kept intervals, into which the objects come in three loads."""
+    table = f"{tables.scratch(spark, 'intervals')}/covered"
+    day = F.col("day")
+    ranges = synthetic.orders(spark, sf_dir).filter(F.dayofweek(day) != 1)
+    for turn in range(3):
+        part = ranges.filter(F.col("o_orderkey") % 3 == turn)
+        intervals.cover(spark, table, part.select(day.alias("start_date"), day.alias("end_date")))
+    return intervals.ranges_to_request(intervals.covered(spark, table, *CALENDAR), *CALENDAR)
+
+
+def covered_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal intervals of the objects' weeks, some of which are left out."""
+    ranges = coverage.readable_names(coverage.ranges_in_names(_order_objects(spark, sf_dir)))
+    return intervals.merge_intervals(ranges.filter(F.dayofyear("start_date") % 5 != 0))
+
+
 # -- upsert -----------------------------------------------------------------------------
 
 
@@ -371,6 +388,24 @@ def stored_velocity_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.gold_views(spark, _gold(spark, sf_dir), VIEW_DAY)["velocities"]
 
 
+def stored_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every month of the stored gold table, from file footers."""
+    return footers.partition_counts(spark, _gold(spark, sf_dir), "observation_date_month")
+
+
+def sql_surface(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver and gold of one day by SQL text alone."""
+    root, landing = _landed(spark, sf_dir)
+    silver, gold = f"{root}/silver", f"{root}/gold"
+    jobs.bronze_to_silver(spark, landing, silver, f"{root}/rejected", f"{root}/ledger", "sql", tables.MONTH)
+    jobs.silver_to_gold(spark, silver, gold, grain=tables.MONTH)
+    surface.register(spark, silver, gold)
+    return spark.sql(f"""
+        SELECT a.asteroid_id, a.epoch_date_close_approach, m.name, m.miss_distance_ld
+        FROM approaches(DATE'{VIEW_DAY}') a
+        JOIN miss_distances(DATE'{VIEW_DAY}') m ON a.name = m.name AND a.miss_distance_ld <=> m.miss_distance_ld""")
+
+
 def view_date_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.date_bounds(synthetic.approach_rows(spark, sf_dir))
 
@@ -398,6 +433,8 @@ CATALOGUE = {
     "coverage_from_names": coverage_from_names,
     "coverage_days": coverage_days,
     "missing_ranges": missing_ranges,
+    "missing_ranges_kept": missing_ranges_kept,
+    "covered_intervals": covered_intervals,
     "upsert_merge": upsert_merge,
     "upsert_partial_columns": upsert_partial_columns,
     "upsert_null_keys": upsert_null_keys,
@@ -416,6 +453,8 @@ CATALOGUE = {
     "stored_date_bounds": stored_date_bounds,
     "stored_miss_distance": stored_miss_distance,
     "stored_velocity_histogram": stored_velocity_histogram,
+    "stored_row_counts": stored_row_counts,
+    "sql_surface": sql_surface,
     "view_date_bounds": view_date_bounds,
     "view_miss_distance": view_miss_distance,
     "view_velocity_histogram": view_velocity_histogram,

@@ -17,7 +17,7 @@ import uuid
 from collections.abc import Iterator
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -136,15 +136,27 @@ def _laid_out(rows: DataFrame, partition_by: str, grain: str) -> DataFrame:
     )
 
 
-def create_table(rows: DataFrame, table: str, partition_by: str, grain: str = DAY) -> None:
-    """First load."""
+def counted(rows: DataFrame) -> tuple[DataFrame, Observation]:
+    """The same rows, counted while some later action runs over all of them.
+
+    Read `row_count` from the observation after that action; no second job is needed. Counted
+    just before a write they are exact: what a lost executor repeats of the write's own stage
+    counts once.
+    """
+    observation = Observation(f"rows-{uuid.uuid4().hex}")
+    return rows.observe(observation, F.count(F.lit(1)).alias("row_count")), observation
+
+
+def create_table(rows: DataFrame, table: str, partition_by: str, grain: str = DAY) -> int:
+    """First load; returns the number of rows, counted as they are written."""
     if has_row_level_catalog(rows.sparkSession, table):
         days = {DAY: F.partitioning.days, MONTH: F.partitioning.months, YEAR: F.partitioning.years}
+        rows, observation = counted(rows)
         rows.writeTo(table).partitionedBy(days[grain](partition_by)).create()
-        return
+        return observation.get["row_count"]
+    laid_out, observation = counted(_laid_out(rows, partition_by, grain))
     writer = (
-        _laid_out(rows, partition_by, grain)
-        .write.format("parquet")
+        laid_out.write.format("parquet")
         .options(**DYNAMIC)
         .partitionBy(partition_column(partition_by, grain))
     )
@@ -153,6 +165,7 @@ def create_table(rows: DataFrame, table: str, partition_by: str, grain: str = DA
         writer.mode("append").save(table)
     else:
         writer.saveAsTable(table)
+    return observation.get["row_count"]
 
 
 def overwrite_partitions(rows: DataFrame, table: str, partition_by: str, grain: str = DAY) -> None:
@@ -165,7 +178,7 @@ def overwrite_partitions(rows: DataFrame, table: str, partition_by: str, grain:
     partition while it is exchanged.
     """
     spark = rows.sparkSession
-    staged = f"{_location(spark, table)}/{MERGES}/{uuid.uuid4().hex}"
+    staged = f"{location(spark, table)}/{MERGES}/{uuid.uuid4().hex}"
     column = partition_column(partition_by, grain)
     laid_out = _laid_out(rows, partition_by, grain)
     if not is_path(table):
@@ -178,7 +191,7 @@ def overwrite_partitions(rows: DataFrame, table: str, partition_by: str, grain:
 
 def finish_merges(spark: SparkSession, table: str) -> None:
     """Move the partitions of merges that were ready into the table; drop those that were not."""
-    place = _location(spark, table)
+    place = location(spark, table)
     if place is None:
         return
     files, root = _folder(spark, place)
@@ -230,7 +243,8 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
-def _location(spark: SparkSession, table: str) -> str | None:
+def location(spark: SparkSession, table: str) -> str | None:
+    """Folder of a table; None if there is none, or if another catalog keeps it."""
     if is_path(table):
         return table.rstrip("/")
     if has_row_level_catalog(spark, table) or not spark.catalog.tableExists(table):

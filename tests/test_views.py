@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedlake.operators.views import (
-    counted,
     date_bounds,
     histogram,
     load_counts,
@@ -43,7 +42,7 @@ def test_bounds_and_series(spark):
 
 
 def test_rows_are_counted_while_they_are_written(spark, tmp_path):
-    rows, seen = counted(gold(spark))
+    rows, seen = tables.counted(gold(spark))
     tables.create_table(rows, f"{tmp_path}/gold", "observation_date")
     assert seen.get == {"row_count": 4}
 

@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -44,6 +45,8 @@ IMPLIED = {
     "option": ({"option"}, {"select", "datalist"}),
 }
 
+#: Within these a new block does not close the paragraph around them.
+P_ENDS = ("table", "td", "th", "button", "object")
 #: Elements a slash closes; on those of HTML it means nothing.
 FOREIGN = frozenset("svg path circle rect line use g polygon polyline ellipse math".split())
 
@@ -69,16 +72,24 @@ ARTICLE_DROP_WORDS = frozenset("comment comments reply ad ads advert advertiseme
 #: Elements that carry running text; inside an article they are never template.
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th tr table ul ol dl figcaption figure section article main body html b i em strong a span code br".split())
 
-_TAG = re.compile(r"<(?:!--(.*?)(?:--!?>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([!?/][^>]*)(?:>|\Z))", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+# A quote means something behind an equals sign only; one that never closes is a character.
+_TAG = re.compile(
+    r"<(?:!--(.*?)(?:--!?>|\Z)"
+    r"|(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))*+)>"
+    r"|([!?/][^>]*)(?:>|\Z))",
+    re.S,
+)
+_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_DIGITS = re.compile(r"\d+")
 _WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "parts", "parent", "digest")
+    __slots__ = ("tag", "attributes", "parts", "parent", "digest", "level")
 
     def __init__(self, tag: str, attributes: str, parent: Node | None):
         self.tag, self.attributes, self.parent = tag, attributes, parent
+        self.level = 0 if parent is None else parent.level + 1
         self.parts: list[Node | str] = []
         self.digest = 0
 
@@ -91,17 +102,22 @@ class Node:
 def parse(page: str) -> Node:
     """The element tree of a page; end tags that are missing or without a start are tolerated."""
     root = top = Node("#page", "", None)
-    depth: dict[str, int] = {}
+    # open elements by tag, outermost first, so that none is looked for by climbing the tree
+    opened: dict[str, list[Node]] = {}
 
     def close(until: Node) -> None:
         nonlocal top
         while top is not until:
-            depth[top.tag] -= 1
+            opened[top.tag].pop()
             top = top.parent
 
-    at, end = 0, len(page)
+    def deepest(tags: Iterable[str]) -> int:
+        return max((opened[t][-1].level for t in tags if opened.get(t)), default=0)
+
+    # behind the last > there is no tag
+    at, end, last = 0, len(page), page.rfind(">")
     while at < end:
-        found = _TAG.search(page, at)
+        found = _TAG.search(page, at) if at <= last or page.find("<!", at) >= 0 or page.find("<?", at) >= 0 or page.find("</", at) >= 0 else None
         if not found:
             top.parts.append(page[at:])
             break
@@ -113,29 +129,20 @@ def parse(page: str) -> Node:
             continue
         tag = tag.lower()
         if slash:
-            if depth.get(tag):
-                node = top
-                while node.tag != tag:
-                    node = node.parent
-                close(node.parent)
+            if opened.get(tag):
+                close(opened[tag][-1].parent)
             elif tag in ("p", "br"):
                 top.parts.append(Node(tag, "", top))
             continue
-        if tag in CLOSES_P and depth.get("p"):
-            node = top
-            while node.tag not in ("p", "#page", "table", "td", "th", "button", "object"):
-                node = node.parent
-            if node.tag == "p":
-                close(node.parent)
+        if tag in CLOSES_P and opened.get("p") and opened["p"][-1].level > deepest(P_ENDS):
+            close(opened["p"][-1].parent)
         if tag in IMPLIED:
             closed, until = IMPLIED[tag]
-            node, last = top, None
-            while node.tag != "#page" and node.tag not in until:
-                if node.tag in closed:
-                    last = node
-                node = node.parent
-            if last is not None:
-                close(last.parent)
+            floor = deepest(until)
+            # the outermost of those to be closed
+            outer = [opened[t][i] for t in closed if opened.get(t) and (i := bisect_right(opened[t], floor, key=lambda n: n.level)) < len(opened[t])]
+            if outer:
+                close(min(outer, key=lambda n: n.level).parent)
         node = Node(tag, attributes, top)
         top.parts.append(node)
         if tag in RAW:
@@ -144,7 +151,7 @@ def parse(page: str) -> Node:
             at = stop.end() if stop else end
         elif tag not in VOID and not (attributes.endswith("/") and tag in FOREIGN):
             top = node
-            depth[tag] = depth.get(tag, 0) + 1
+            opened.setdefault(tag, []).append(node)
     return root
 
 
@@ -159,6 +166,8 @@ def elements(root: Node) -> list[Node]:
 
 
 def hash_subtrees(root: Node) -> list[Node]:
+    """Digests of all subtrees. Numbers are one to them, so that pages and blocks that differ in
+    a date or a counter only are the same."""
     nodes = elements(root)
     for node in reversed(nodes):
         state = xxhash.xxh64(f"{node.tag}|{'|'.join(node.attribute('class', 'id', 'role'))}".encode())
@@ -166,7 +175,7 @@ def hash_subtrees(root: Node) -> list[Node]:
             if isinstance(part, Node):
                 state.update(part.digest.to_bytes(8, "little"))
             else:
-                state.update(" ".join(part.split()).encode("utf-8", "replace") + b"\n")
+                state.update(_DIGITS.sub("0", " ".join(part.split())).encode("utf-8", "replace") + b"\n")
         node.digest = state.intdigest()
     return nodes
 
@@ -224,10 +233,15 @@ def _article_ancestors(root: Node) -> set[int]:
     return around
 
 
-def main_text(page: str, template: frozenset[int]) -> str:
+#: Elements whose text is none of the page's, whatever they are called.
+NO_TEXT = frozenset("head script style title noscript template iframe svg noframes noembed".split())
+
+
+def main_text(page: str, template: frozenset[int], names: bool = True) -> str:
     """The text of a page without boilerplate and without the subtrees of `template`.
 
-    Where a page has an article or main element with text, only that counts.
+    Where a page has an article or main element with text, only that counts. Without `names`
+    nothing is taken for boilerplate by its tag, role or class, and the template alone decides.
     """
     root = parse(page)
     if template:
@@ -245,7 +259,7 @@ def main_text(page: str, template: frozenset[int]) -> str:
             continue
         if part.parent is not None:
             within = inside or _is_article(part)
-            if id(part) not in around and _boilerplate(part, within):
+            if id(part) not in around and (_boilerplate(part, within) if names else part.tag in NO_TEXT):
                 stack.append((" ", inside))
                 continue
             spared = within and part.tag in PROSE or id(part) in around or part.tag in ("html", "body")
@@ -264,11 +278,12 @@ def main_text(page: str, template: frozenset[int]) -> str:
     return text or " ".join("".join(whole).split())
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, names: bool = True) -> DataFrame:
     """`pages` with `text` (main text, empty if none) and `n_chars` (its code points).
 
     A NULL page is empty. Pages whose url has no host count as one host of their own. Pages
-    of a host with the same content (elements, classes, ids, text) count as one. White space is one space everywhere, as blocks are joined by one
+    of a host with the same content (elements, classes, ids, text but for numbers) count as one.
+    `names` turns off what is decided by tags, roles and classes. White space is one space everywhere, as blocks are joined by one
     as well. Input columns `text` and `n_chars` are replaced, all others stay.
 
     Template subtrees of a host are at most as many as its pages have subtrees on average,
@@ -311,7 +326,7 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [
-                main_text(page or "", frozenset(own or ()))
+                main_text(page or "", frozenset(own or ()), names)
                 for page, own in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "text"])

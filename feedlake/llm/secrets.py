@@ -1,10 +1,12 @@
 """Secret scan: known formats, and strings whose characters are close to random.
 
-Three kinds are found by their format (`assign`, `access`, `hex`). Two more come from the
-method: candidate strings, runs of base64 characters, in which a window of `window` characters
-reaches a Shannon entropy no ordinary word has. The window slides one character at a time and
-keeps a count for each character; a step changes two counts and their share of the sum, so a
-string costs its length, not length times window. A candidate on the allow list is suppressed.
+Three kinds are found by their format (`assign`, `access`, `hex`). The others come from the
+method: candidate strings in which a window of `window` characters reaches a Shannon entropy
+that no ordinary word of their character class has. Candidates are runs of base64 characters,
+the runs of letters and digits in them (so that a name before `=` or a path around a key does
+not hide it), and hexadecimal groups joined by dashes, whose dashes do not count. The window
+slides one character at a time and keeps a count for each character; what enters and what
+leaves changes one term of the sum each. A candidate on the allow list is suppressed.
 
 Everything is SQL built-ins on one row: no shuffle, no Python.
 """
@@ -12,8 +14,6 @@ Everything is SQL built-ins on one row: no shuffle, no Python.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,13 +37,25 @@ HEX = "[0-9a-f]{24,}"
 CANDIDATE = "[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-CLASSES = {"entropy_hex": ("^[0-9a-fA-F]*([0-9][a-fA-F]|[a-fA-F][0-9])[0-9a-fA-F]*$", 2.95), "entropy_base64": ("[A-Z].*[0-9]|[0-9].*[A-Z]", 3.85)}
-#: Suppressed: a few characters repeated, runs of the alphabet or of digits, paths and words
-#: joined by dashes or underscores, keys that documentation uses.
+CLASSES = {
+    "entropy_hex": ("^[0-9a-fA-F]*([0-9][a-fA-F]|[a-fA-F][0-9])[0-9a-fA-F]*$", 2.95),
+    "entropy_base64": ("[A-Z].*[0-9]|[0-9].*[A-Z]", 3.85),
+    "entropy_lower": ("^(?=(?:.*?[0-9][a-z]){3})[a-z0-9]+$", 3.5),
+    "entropy_upper": ("^[A-Z]+$", 3.9),
+    "entropy_letters": ("^(?=(?:.*?[a-z][A-Z]){5})[A-Za-z]+$", 3.9),
+    "entropy_dashed": ("^(?=.*[0-9])(?=.*[a-fA-F])", 2.95),
+}
+#: Strings of the classes: base64 is looked for in CANDIDATE, dashed groups in DASHED, the others in RUN.
+RUN = "[A-Za-z0-9]{20,}"
+DASHED = "(?<![A-Za-z0-9+/_=-])[0-9a-fA-F]{2,}(?:-[0-9a-fA-F]{2,})+(?![A-Za-z0-9+/_=-])"
+#: A string is of the first of these classes that it fits.
+RUN_CLASSES = ["entropy_hex", "entropy_lower", "entropy_upper", "entropy_letters"]
+#: Suppressed: a few characters repeated, runs of the alphabet or of digits, paths, words and
+#: numbers joined by dashes or underscores, keys that documentation uses.
 ALLOWED = [
     "^(.{1,4})\\1{3,}.{0,3}$",
     "(?i)0123456789abcdef|abcdefghijklmnop",
-    "^[A-Za-z]+([/_=-][A-Za-z]*)+$",
+    "^([A-Za-z]+|[0-9]+)([/_=-]([A-Za-z]*|[0-9]+))+$",
     "EXAMPLE",
 ]
 BLOCK = 512
@@ -167,8 +179,8 @@ def scan_secrets(docs: DataFrame, allowed: list[str] | None = None) -> DataFrame
     """`docs` with `secrets`, an array of (start, kind, end, value) in order of start and kind.
 
     Places count code points, `end` is exclusive. Kinds: `assign`, `access`, `hex`, and the
-    entropy kinds `entropy_hex` and `entropy_base64`, which leave out candidates that match a
-    pattern of `allowed` (default `ALLOWED`). NULL text is empty and has none. Equal rows give
+    entropy kinds, those of CLASSES, which leave out candidates that match a pattern of
+    `allowed` (default `ALLOWED`). NULL text is empty and has none. Equal rows give
     equal results; an input column `secrets` is replaced, all others stay.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -176,26 +188,25 @@ def scan_secrets(docs: DataFrame, allowed: list[str] | None = None) -> DataFrame
     assign = F.filter(
         _finds(text, ASSIGN), lambda x: F.char_length(F.regexp_extract(x["match"], ASSIGN, 2)) >= ASSIGN_CHARS
     )
-    candidates = F.filter(
-        _finds(text, CANDIDATE),
-        lambda x: ~reduce(or_, (F.regexp_like(x["match"], F.lit(p)) for p in allow), F.lit(False)),
-    )
     kinds = [_spans(assign, "assign"), _spans(_finds(text, ACCESS), "access"), _spans(_finds(text, HEX), "hex")]
 
-    def of_class(kind: str) -> Column:
+    def of_class(kind: str, finds: Column, string: Callable[[Column], Column] = lambda x: x) -> Column:
         pattern, bits = CLASSES[kind]
-        others = [p for k, (p, _) in CLASSES.items() if ORDER.index(k) < ORDER.index(kind)]
+        before = RUN_CLASSES[: RUN_CLASSES.index(kind)] if kind in RUN_CLASSES else []
 
-        def belongs(x: Column) -> Column:
-            mine = F.regexp_like(x["match"], F.lit(pattern))
-            for other in others:
-                mine = mine & ~F.regexp_like(x["match"], F.lit(other))
-            return mine
+        def random(x: Column) -> Column:
+            own = string(x["match"])
+            mine = (F.char_length(own) >= WINDOW) & F.regexp_like(own, F.lit(pattern))
+            for p in (*(CLASSES[k][0] for k in before), *allow):
+                mine = mine & ~F.regexp_like(x["match"], F.lit(p))
+            return F.when(mine, peak_entropy(own) >= bits).otherwise(F.lit(False))
 
-        own = F.filter(candidates, belongs)
-        return _spans(F.filter(own, lambda x: peak_entropy(x["match"]) >= bits), kind)
+        return _spans(F.filter(finds, random), kind)
 
-    kinds += [of_class(kind) for kind in CLASSES]
+    runs = _finds(text, RUN)
+    kinds += [of_class(kind, runs) for kind in RUN_CLASSES]
+    kinds.append(of_class("entropy_base64", _finds(text, CANDIDATE)))
+    kinds.append(of_class("entropy_dashed", _finds(text, DASHED), lambda match: F.replace(match, F.lit("-"))))
     names = F.array(*(F.lit(k) for k in ORDER))
     named = F.transform(
         F.array_sort(F.concat(*kinds)),

@@ -14,8 +14,12 @@ them, whatever the corpus, so it can be broadcast); rarer ones share the largest
 Equal texts are one from the start. Within a bucket no pair is made that is not needed:
 members are verified against one pivot, then those of other components against a few more.
 Large buckets that are still not one component owe it to a passage that many documents share;
-what is apart in them is compared by its samples, in tiles within the tasks, and only pairs
-that agree in `AGREE` of them go on to be verified.
+what is apart in them is compared by its samples, in tiles within the tasks. Pairs go on to be
+verified unless their total weights rule out the threshold, or fewer than `AGREE` samples agree,
+which at the threshold is rarer than that a pair shares no band at all.
+
+Nodes are distinct texts, each with a number of its own, so that bands, samples and text of a
+node always belong together. Texts of one document are linked as such.
 """
 
 from __future__ import annotations
@@ -43,12 +47,14 @@ IDF = 0.05
 TABLE_BITS = 16
 #: Pivots of a bucket in the second round.
 PIVOTS = 8
-#: Samples two documents must agree in to be verified without a pivot: 2.1 deviations below
-#: the mean of a pair at the threshold.
-AGREE = 57
+#: Samples two texts must agree in to be verified without a pivot: at the threshold 64 of 80 are
+#: expected, and fewer than 52 seen once in 2,000 pairs; bands miss four times as many.
+AGREE = 52
 TILE_ROWS, TILE_CHUNK = 2048, 256
-#: Ids of candidate documents that may be broadcast to the scan of the texts.
+#: Nodes whose texts are needed that may be broadcast to the scan of the texts.
 BROADCAST_IDS = 1_000_000
+#: Members a pivot's text is sent to together.
+MEMBERS = 512
 
 
 class Sampler:
@@ -198,35 +204,37 @@ def _signer(weights: Weights) -> Callable:
             for at, distinct, counts, bounds in _sets(batch.column("text")):
                 full = np.flatnonzero(np.diff(bounds))
                 bands, samples = np.zeros((0, BANDS), np.uint64), np.zeros((0, BANDS * ROWS), np.uint8)
+                totals = np.zeros(0)
                 if len(full):
-                    bands, samples = sampler.bands(distinct, weights.log(distinct, counts).astype(np.float32), bounds[:-1][full])
+                    logs = weights.log(distinct, counts)
+                    totals = np.add.reduceat(np.exp(logs), bounds[:-1][full])
+                    bands, samples = sampler.bands(distinct, logs.astype(np.float32), bounds[:-1][full])
                 flat = pa.array(bands.ravel().view(np.int64), pa.int64())
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(full) + 1) * BANDS, pa.int32()), flat)
                 kept = batch.take(pa.array(full + at))
                 yield pa.RecordBatch.from_arrays(
-                    [kept.column("doc_id"), kept.column("h1"), kept.column("h2"), lists, pa.array([s.tobytes() for s in samples], pa.binary())],
-                    names=["doc_id", "h1", "h2", "bands", "samples"],
+                    [kept.column("doc_id"), kept.column("h1"), kept.column("h2"), lists, pa.array([s.tobytes() for s in samples], pa.binary()), pa.array(totals)],
+                    names=["doc_id", "h1", "h2", "bands", "samples", "total"],
                 )
 
     return sign
 
 
 def _verifier(weights: Weights, threshold: float) -> Callable:
+    """Reads a pivot's text (no `a`) before the texts it is compared with."""
+
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[int, tuple] | None = None
+        pivot: tuple[np.ndarray, np.ndarray] = np.zeros(0, np.uint64), np.zeros(0)
         for batch in batches:
-            pivots = batch.column("b").to_pylist()
+            member = batch.column("a").is_valid().to_numpy(zero_copy_only=False)
             kept = []
-            texts = batch.column("text_b")
-            for at, distinct, counts, bounds in _sets(batch.column("text_a")):
+            for at, distinct, counts, bounds in _sets(batch.column("text")):
                 values = np.exp(weights.log(distinct, counts))
                 for row in range(len(bounds) - 1):
                     own = slice(bounds[row], bounds[row + 1])
-                    pivot = pivots[at + row]
-                    if last is None or last[0] != pivot:
-                        _, d, c, _ = next(_sets(texts.slice(at + row, 1)))
-                        last = pivot, (d, np.exp(weights.log(d, c)))
-                    if similarity((distinct[own], values[own]), last[1]) >= threshold:
+                    if not member[at + row]:
+                        pivot = distinct[own].copy(), values[own].copy()
+                    elif similarity((distinct[own], values[own]), pivot) >= threshold:
                         kept.append(at + row)
             yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
 
@@ -238,10 +246,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     Documents link if their weighted Jaccard similarity is at least `threshold`, or if their
     texts are equal and not empty. A pair shares a band with a probability of 0.998 at 0.8 and
-    agrees in enough samples with 0.98, more above: the first alone makes it a candidate if one
-    of the two is a pivot, both together always. A text of fewer than five words is one shingle of all its words. NULL and empty
-    texts link with nothing, texts without any word only with equal ones. Rows that share a
-    doc_id are one document; of its texts, one is compared with others. Rows without an id link with nothing: class_id NULL, kept true.
+    agrees in enough samples with 0.9995, more above: the first alone makes it a candidate if one
+    of the two is a pivot, both together always. A text of fewer than five words is one shingle
+    of all its words. NULL and empty texts link with nothing, texts without any word only with
+    equal ones. Rows that share a doc_id are one document, which links by each of its texts. Rows
+    without an id link with nothing: class_id NULL, kept true.
     Input columns of the two names are replaced, all others stay.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "near-dup")
@@ -259,31 +268,38 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     texts = own.filter(F.col("doc_id").isNotNull() & (F.col("text") != "")).select("doc_id", *hashes, "text")
     ids = texts.select("doc_id", "h1", "h2")
-    classes = scratch.keep(ids.groupBy("h1", "h2").agg(F.min("doc_id").alias("node")), "classes")
-    signed = scratch.keep(texts.mapInArrow(sign, "doc_id long, h1 long, h2 long, bands array<long>, samples binary"), "signed")
-    first = signed.join(classes.select("h1", "h2", F.col("node").alias("doc_id")), ["h1", "h2", "doc_id"], "left_semi")
-    first = scratch.keep(first.groupBy("doc_id").agg(F.min("bands").alias("bands"), F.min("samples").alias("samples")), "first")
-    members = first.select(F.col("doc_id").alias("id"), F.posexplode("bands").alias("band", "hash"))
+    # a node for each distinct text; written once, so that the numbers stay
+    nodes = ids.groupBy("h1", "h2").agg(F.min("doc_id").alias("least")).withColumn("node", F.monotonically_increasing_id())
+    nodes = scratch.keep(nodes, "nodes")
+    named = nodes.select("h1", "h2", F.col("least").alias("doc_id"), "node")
+    signed = scratch.keep(texts.mapInArrow(sign, "doc_id long, h1 long, h2 long, bands array<long>, samples binary, total double"), "signed")
+    # repeated rows of a node's document hold its one text, so all of them have the same values
+    first = signed.join(named, ["h1", "h2", "doc_id"]).groupBy(F.col("node").alias("id"))
+    first = scratch.keep(first.agg(*(F.first(c).alias(c) for c in ("bands", "samples", "total"))), "first")
+    members = first.select("id", F.posexplode("bands").alias("band", "hash"))
     members = scratch.keep(members, "members")
     crowded = members.groupBy("band", "hash").agg(F.min("id").alias("least"), F.max("id").alias("most"))
     crowded = scratch.keep(crowded.filter("least < most").select("band", "hash"), "buckets")
     members = scratch.keep(members.join(crowded, ["band", "hash"], "left_semi"), "members")
-    links = texts.select(F.col("doc_id").alias("a")).limit(0).withColumn("b", F.col("a"))
-    # a document of several texts is one node: its classes are linked
-    own_links = ids.join(classes, ["h1", "h2"]).filter("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    links = scratch.keep(own_links.distinct(), "links")
+    # a document of several texts is all of their nodes: they are linked to the first of them
+    held = ids.join(nodes.select("h1", "h2", "node"), ["h1", "h2"]).select("doc_id", "node").distinct()
+    several = held.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("most")).filter("b < most")
+    own_links = held.join(several.select("doc_id", "b"), "doc_id").filter("node <> b").select(F.col("node").alias("a"), "b")
+    links = scratch.keep(own_links, "links")
     groups = None
     for pivots in (1, PIVOTS, 0):
-        pairs = scratch.keep(_pairs(members, groups, pivots, first, scratch), "pairs")
+        pairs = scratch.keep(_pairs(members, groups, pivots, first, threshold, scratch), "pairs")
         if pairs.isEmpty():
             continue
-        found = scratch.keep(_with_texts(pairs, texts, classes).mapInArrow(verify, "a long, b long"), "verified")
+        found = scratch.keep(_with_texts(pairs, texts, named).mapInArrow(verify, "a long, b long"), "verified")
         links = links.unionByName(found)
         groups = components(links, scratch)
     if groups is None:
         groups = components(links, scratch)
-    table = classes.join(groups, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("class"))
-    table = scratch.keep(table, "table")
+    table = nodes.join(groups, "node", "left").select("h1", "h2", "least", F.coalesce("component", "node").alias("group"))
+    table = scratch.keep(table, "grouped")
+    smallest = table.groupBy("group").agg(F.min("least").alias("class"))
+    table = scratch.keep(table.join(smallest, "group").select("h1", "h2", "class"), "table")
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), *hashes)
     rows = rows.join(table, ["h1", "h2"], "left")
     named = rows.select(
@@ -293,7 +309,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return add_columns(named, class_id=F.col("__class"), kept=kept).drop("__class", "__id")
 
 
-def _pairs(members: DataFrame, groups: DataFrame | None, pivots: int, signed: DataFrame, scratch: Scratch) -> DataFrame:
+def _pairs(
+    members: DataFrame, groups: DataFrame | None, pivots: int, signed: DataFrame, threshold: float, scratch: Scratch
+) -> DataFrame:
     """Pairs (a, b) to verify, each once: members of a bucket with its pivots, or close ones.
 
     `pivots` is the number of pivots of a bucket, the smallest ids of as many hash classes; 0
@@ -305,7 +323,7 @@ def _pairs(members: DataFrame, groups: DataFrame | None, pivots: int, signed: Da
     else:
         members = members.withColumn("component", F.col("id"))
     if not pivots:
-        return _close_pairs(members, signed, scratch)
+        return _close_pairs(members, signed, threshold, scratch)
     salt = F.pmod(F.xxhash64("id"), F.lit(pivots))
     chosen = members.groupBy("band", "hash", salt.alias("salt")).agg(
         F.min_by(F.struct("id", "component"), "id").alias("p")
@@ -315,19 +333,20 @@ def _pairs(members: DataFrame, groups: DataFrame | None, pivots: int, signed: Da
     return joined.select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")).distinct()
 
 
-def _close_pairs(members: DataFrame, signed: DataFrame, scratch: Scratch) -> DataFrame:
+def _close_pairs(members: DataFrame, signed: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
     """Pairs of different components that share a bucket and at least `AGREE` samples.
 
-    A bucket is compared in tiles of at most TILE_ROWS by TILE_ROWS documents, whose samples
-    are bytes; only pairs that agree leave the task, each from the first bucket it shares.
+    A bucket is compared in tiles of at most TILE_ROWS by TILE_ROWS texts, whose samples are
+    bytes; only pairs that agree leave the task, each from the first bucket it shares. Their
+    similarity is at most the smaller total weight over the larger, so pairs for which that is
+    below the threshold stay.
     """
     open_ = members.groupBy("band", "hash").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("count")
     )
     open_ = open_.filter("low < high").select("band", "hash", F.ceil(F.col("count") / TILE_ROWS).cast("int").alias("blocks"))
     rows = members.join(scratch.keep(open_, "open"), ["band", "hash"])
-    own = signed.select(F.col("doc_id").alias("id"), "bands", "samples")
-    rows = rows.join(own, "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = rows.join(signed, "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
 
@@ -336,13 +355,14 @@ def _close_pairs(members: DataFrame, signed: DataFrame, scratch: Scratch) -> Dat
         left, right = frame[frame["block"] == low], frame[frame["block"] == high]
         found = [np.zeros((0, 2), np.int64)]
         if len(left) and len(right):
-            ids, samples, groups, bands = _columns(right)
+            ids, samples, groups, bands, totals = _columns(right)
             for at in range(0, len(left), TILE_CHUNK):
-                own_ids, own_samples, own_groups, own_bands = _columns(left.iloc[at : at + TILE_CHUNK])
+                own_ids, own_samples, own_groups, own_bands, own_totals = _columns(left.iloc[at : at + TILE_CHUNK])
                 same = np.zeros((len(own_ids), len(ids)), np.uint8)
                 for k in range(BANDS * ROWS):
                     same += own_samples[:, k, None] == samples[None, :, k]
-                i, j = np.nonzero((same >= AGREE) & (own_groups[:, None] != groups[None, :]))
+                possible = np.minimum(own_totals[:, None], totals) >= (threshold - 1e-9) * np.maximum(own_totals[:, None], totals)
+                i, j = np.nonzero((same >= AGREE) & (own_groups[:, None] != groups[None, :]) & possible)
                 first = (own_bands[i] == bands[j]).argmax(axis=1) == band
                 if low == high:
                     first &= own_ids[i] > ids[j]
@@ -350,23 +370,31 @@ def _close_pairs(members: DataFrame, signed: DataFrame, scratch: Scratch) -> Dat
         pairs = np.concatenate(found)
         return pd.DataFrame({"a": pairs.max(axis=1, initial=-(2**63)), "b": pairs.min(axis=1, initial=2**63 - 1)})
 
-    chosen = rows.select("band", "hash", "low", "high", "block", "id", "component", "bands", "samples")
+    chosen = rows.select("band", "hash", "low", "high", "block", "id", "component", "bands", "samples", "total")
     return chosen.groupBy("band", "hash", "low", "high").applyInPandas(agree, "a long, b long").distinct()
 
 
 def _columns(frame: pd.DataFrame) -> tuple[np.ndarray, ...]:
     samples = np.frombuffer(b"".join(frame["samples"]), np.uint8).reshape(len(frame), BANDS * ROWS)
-    return frame["id"].to_numpy(), samples, frame["component"].to_numpy(), np.stack(frame["bands"].to_list())
-
-
-def _with_texts(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
-    """`pairs` with `text_a` and `text_b`, those of one pivot b after another."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    few = ids.count() <= BROADCAST_IDS
-    needed = texts.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-    needed = needed.join(classes.withColumnRenamed("node", "doc_id"), ["h1", "h2", "doc_id"], "left_semi") if not few else needed
-    needed = needed.groupBy("doc_id").agg(F.min("text").alias("text"))
-    one = needed.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    other = needed.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    joined = pairs.join(one, "a").join(other, "b")
-    return joined.select("a", "b", "text_a", "text_b").sortWithinPartitions("b")
+    return frame["id"].to_numpy(), samples, frame["component"].to_numpy(), np.stack(frame["bands"].to_list()), frame["total"].to_numpy()
+
+
+def _with_texts(pairs: DataFrame, texts: DataFrame, named: DataFrame) -> DataFrame:
+    """Rows (a, b, text): of each pivot b its own text, a being NULL, and then those of its members.
+
+    A pivot's text goes once to every MEMBERS of them, so that no pivot is a task of its own.
+    """
+    ids = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = named.join(ids, "node")
+    wanted = F.broadcast(wanted) if ids.count() <= BROADCAST_IDS else wanted
+    # repeated rows hold the same text
+    needed = texts.join(wanted, ["h1", "h2", "doc_id"]).groupBy("node").agg(F.first("text").alias("text"))
+    crowds = pairs.groupBy("b").agg(F.ceil(F.count("*") / MEMBERS).alias("salts")).filter("salts > 1")
+    salted = pairs.join(crowds, "b", "left").select(
+        "a", "b", F.pmod(F.xxhash64("a"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt")
+    )
+    members = salted.join(needed.withColumnRenamed("node", "a"), "a")
+    none = F.lit(None).cast("long").alias("a")
+    pivots = salted.select("b", "salt").distinct().join(needed.withColumnRenamed("node", "b"), "b").select(none, "b", "salt", "text")
+    rows = members.select("a", "b", "salt", "text").unionByName(pivots)
+    return rows.repartition("b", "salt").sortWithinPartitions("b", "salt", F.col("a").asc_nulls_first()).select("a", "b", "text")

@@ -212,6 +212,16 @@ def test_raking_meets_its_targets(spark):
     assert out.equals(mixing.mix_sources(spark.createDataFrame(rows, DOCS), targets={"lang": {"en": 2, "de": 1, "fr": 1}}).toPandas())
 
 
+def test_raking_by_spark_equals_raking_at_once(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(i, prose(i, int(rng.integers(0, 60))), ["en", "de", None][i % 3], ["a", "b", None, "c"][i // 7 % 4], 1) for i in range(120)]
+    table, columns = spark.createDataFrame(rows, DOCS), ["doc_id", "weight", "probability", "selected"]
+    targets = {"lang": {"en": 2, "de": 1, "xx": 5}}
+    whole = sorted(map(tuple, mixing.mix_sources(table, targets).select(*columns).collect()))
+    monkeypatch.setattr(mixing, "CELLS", 0)
+    assert sorted(map(tuple, mixing.mix_sources(table, targets).select(*columns).collect())) == whole
+
+
 def test_mixing_odd_rows(docs, none):
     assert mixing.mix_sources(none).count() == 0
     out = mixing.mix_sources(docs).collect()
@@ -240,6 +250,54 @@ def test_html_parts():
     assert html.main_text(deep, frozenset()) == "x"
 
 
+def test_html_quotes_in_unquoted_attributes():
+    body = "<article><p>start <a href=x title=Bob's>link</a> one</p><p>it's two</p><p title=5\">three</p><p a = 'x>y' b=>four</p></article>"
+    assert html.main_text(body, frozenset()) == "start link one it's two three four"
+    assert html.main_text('<p>a<b title="never closed>b</b><p>c', frozenset()) == "ab c"
+    assert html.main_text("<p>a</p> 1 < 2 <b", frozenset()) == "a 1 < 2 <b"
+
+
+@pytest.mark.parametrize("piece", ['<a b="', "<a b='x\" ", "<a ", "<div><li>", "<p><button><i><div>", "<a =", "<!-", "<script ", "<p x='>"])
+def test_html_is_read_in_linear_time(piece):
+    import time
+
+    def seconds(count):
+        start = time.perf_counter()
+        html.main_text(piece * count, frozenset())
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(40_000) < 8 * max(seconds(10_000), 0.05)
+
+
+def test_html_template_decides_without_names(spark):
+    """Menus and footers with no telling tag or class, word lists off."""
+    rows = []
+    for i in range(30):
+        menu = "<div><div><a href=/a>Start</a> <a href=/b>All posts</a></div><div>Since 1998</div></div>"
+        text = f"<div><div><p>{prose(900 + i, 30)}</p></div><div>{prose(950 + i, 20)}</div></div>"
+        rows.append((i, f"http://plain/{i}", f"<html><body>{menu}{text}<div><p>Written by the team, page {i}</p></div></body></html>"))
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for r in html.extract(table, names=False).collect():
+        assert r.text == f"{prose(900 + r.page_id, 30)} {prose(950 + r.page_id, 20)}"
+
+
+def test_html_copies_that_differ_in_a_date(spark):
+    body = f"<article><div class=body>{prose(33, 60)}</div></article>"
+    rows = [(i, f"http://copies/{i}", f"<html><body>{body}<div>Read {i} times, 2024-01-{i:02d}</div></body></html>") for i in range(10)]
+    rows += [(100 + i, f"http://copies/{100 + i}", f"<html><body><article><div class=body>{prose(40 + i, 50)}</div></article></body></html>") for i in range(10)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.text for r in html.extract(table).filter("page_id < 100").collect()} == {prose(33, 60)}
+
+
+def test_html_of_odd_tables(spark):
+    rows = [(1, None, None, "a"), (1, None, None, "a"), (2, "x", "<p>t", "a")]
+    out = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string, TEXT string"))
+    assert out.columns == ["page_id", "url", "html", "text", "n_chars"]
+    assert sorted(r.text for r in out.collect()) == ["", "", "t"]
+    assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
 def test_html_template_of_a_host(spark):
     rows = [page(f"<div class='k1'>Welcome to the shop</div><div><p>Story {i} {prose(i, 9)}</p></div><div class=k2><span>Buy more</span></div>", number=i) for i in range(8)]
     rows += [page("<div>Welcome to the shop</div>", "other.example", 20), (30, None, None), (31, "no url", "<p>x</p>")]
@@ -452,19 +510,49 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 
 
 def brute_entropy(text):
-    """Peak entropy of the candidates, and their kinds, window by window."""
+    """Strings of each class with a window of high entropy, window by window."""
     spans = []
-    for m in re.finditer(secrets.CANDIDATE, text):
-        if any(re.search(p, m[0]) for p in secrets.ALLOWED):
-            continue
-        kinds = [k for k, (p, _) in secrets.CLASSES.items() if re.search(p, m[0])]
-        windows = [m[0][i : i + secrets.WINDOW] for i in range(len(m[0]) - secrets.WINDOW + 1)]
-        entropy = lambda w: -sum(c / len(w) * math.log2(c / len(w)) for c in Counter(w).values())
-        if kinds and max(map(entropy, windows)) >= secrets.CLASSES[kinds[0]][1]:
-            spans.append((m.start(), secrets.ORDER.index(kinds[0]), m.end()))
+
+    def peak(string):
+        windows = [string[i : i + secrets.WINDOW] for i in range(len(string) - secrets.WINDOW + 1)]
+        return max(-sum(c / len(w) * math.log2(c / len(w)) for c in Counter(w).values()) for w in windows)
+
+    for where, kinds in ((secrets.CANDIDATE, ["entropy_base64"]), (secrets.RUN, secrets.RUN_CLASSES), (secrets.DASHED, ["entropy_dashed"])):
+        for m in re.finditer(where, text):
+            own = m[0].replace("-", "") if where == secrets.DASHED else m[0]
+            fits = [k for k in kinds if re.search(secrets.CLASSES[k][0], own)]
+            if len(own) < secrets.WINDOW or not fits or any(re.search(p, m[0]) for p in secrets.ALLOWED):
+                continue
+            if peak(own) >= secrets.CLASSES[fits[0]][1]:
+                spans.append((m.start(), secrets.ORDER.index(fits[0]), m.end()))
     return spans
 
 
+def test_secrets_of_every_class(spark):
+    planted = {
+        "entropy_lower": "q7x9k2m4p8w3z6t1v5b0n", "entropy_upper": "KQWEZXPLMTRVBNASDFGHJ", "entropy_letters": "kQwEzXpLmTrVbNaSdFgHj",
+        "entropy_hex": "3fa9c1d07b2e4865af90", "entropy_dashed": "3fa9c1d0-7b2e-4865-af90-1c2d3e4f5a6b", "entropy_base64": "wJalrXUtnFEMI7K3MDENGbPxRfi",
+    }
+    rows = [(kind, f"é words sig={value} and more") for kind, value in planted.items() if kind != "entropy_dashed"]
+    rows += [("entropy_dashed", f"é words {planted['entropy_dashed']}, and more"), ("", prose(4, 3000)), ("", "internationalization_of_documents/andTheirVeryLongNames-2024")]
+    rows += [("", "getElementsByTagNameAndClassName INTERNATIONALIZATION 12345678901234567890 version2024release10candidate")]
+    found = secrets.scan_secrets(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    for r in found:
+        kinds = {s.kind for s in r.secrets}
+        assert kinds == ({r.doc_id} if r.doc_id else set()), r
+        if r.doc_id:
+            assert planted[r.doc_id] in r.secrets[0].value
+
+
+def test_secrets_of_odd_tables(spark):
+    long = "x" + "aB3" * 20_000
+    rows = [(None, None, "old"), (1, "", "old"), (2, long, "old"), (2, long, "old")]
+    out = secrets.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string, SECRETS string"))
+    assert out.columns == ["doc_id", "text", "secrets"]
+    assert sorted(len(r.secrets) for r in out.collect()) == [0, 0, 0, 0]
+    assert secrets.digest(secrets.scan_secrets(spark.createDataFrame([], "doc_id long, text string"))).count() == 0
+
+
 def test_secrets(spark):
     key = "wJalrXUtnFEMI7K3MDENGbPxRfiCYzz9QQ1"
     texts = [
@@ -517,6 +605,31 @@ def brute_near(rows):
     return {i: find(i) for i in sets}
 
 
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_near_duplicates_of_documents_with_several_texts(spark, monkeypatch, most):
+    """Ids 3 i: A; 3 i + 1: A and B; 3 i + 2: a near copy of B. All three are one class."""
+    monkeypatch.setattr(near_dup, "BROADCAST_IDS", most)
+    rows = []
+    for i in range(20):
+        a, b = prose(2000 + i, 80), prose(3000 + i, 80)
+        rows += [(3 * i, a), (3 * i + 1, a), (3 * i + 1, b), (3 * i + 1, b), (3 * i + 2, b + " end")]
+    rows += [(1000 + i, t) for i in range(40) for t in (prose(4000 + i, 60), prose(5000 + i, 60))]
+    rows += [(2000 + i, prose(4000 + i, 60) + " x") for i in range(40)] + [(3000 + i, prose(5000 + i, 60) + " y") for i in range(40)]
+    out = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    for r in out:
+        assert r.class_id == (r.doc_id - r.doc_id % 3 if r.doc_id < 1000 else 1000 + r.doc_id % 1000), r.doc_id
+
+
+def test_near_duplicates_of_odd_tables(spark):
+    long = prose(1, 40_000)
+    rows = [(1, long, "c", 1), (2, long + " more", "c", 1), (2, long + " more", "c", 1), (3, None, "c", 1), (None, long, "c", 1)]
+    out = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, CLASS_ID string, node int"))
+    assert out.columns == ["doc_id", "text", "node", "class_id", "kept"]
+    assert sorted(((r.doc_id, r.class_id, r.kept) for r in out.collect()), key=str) == [
+        (1, 1, True), (2, 1, False), (2, 1, False), (3, 3, True), (None, None, True),
+    ]
+
+
 def test_near_duplicates(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "TILE_ROWS", 8)
     rows = []

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedlake.llm.common import Scratch
 from feedlake.llm.words import mix, slices
 
 #: What a byte can do, as bits.
@@ -183,7 +184,7 @@ def cells(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = docs.select(
         F.col("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("part"), F.coalesce("text", F.lit("")).alias("text")
     )
-    narrow = measured(rows.withColumn("sha", F.sha2("text", 256)))
+    narrow = measured(rows.withColumn("sha", F.unhex(F.sha2("text", 256))))
     counted = narrow.select("doc_id", "part", "sha", failures().alias("fails")).groupBy("doc_id", "part", "sha", "fails").agg(F.count("*").alias("n"))
     known = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
     labelled = counted.hint("rebalance").join(known.hint("rebalance"), "doc_id", "left").select(
@@ -196,6 +197,8 @@ def cells(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("doc_id").isNull(), F.col("n")).otherwise(0)).alias("nameless"),
         F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "n"))).getField("n").alias("at_least"),
     )
+    # written once, so that texts are passed once for both uses
+    kinds = Scratch(docs.sparkSession, "audit").keep(kinds, "kinds")
     least = kinds.groupBy("sha").agg(F.min("least").alias("first"))
     # a kind is one row for each text and labels, so no text has many of them
     joined = kinds.join(least, "sha")

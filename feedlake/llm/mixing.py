@@ -23,6 +23,8 @@ TOPICS = 8
 #: Exponent of a value's share of tokens in its default target: 1 leaves the shares, 0 evens them out.
 TEMPER = 0.9
 TOLERANCE, ROUNDS = 1e-6, 50
+#: Cells raked on the driver; more are raked by Spark.
+CELLS = 1 << 17
 #: Topic words: so many letters at least, or so many bytes beyond ASCII.
 TOPIC_BYTES = 6
 
@@ -67,10 +69,45 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], scratch: Scratch) -
     `targets[margin]` has `value` and `share`. Shares of a margin are taken relative to their
     sum over the values that have tokens; a value without a target keeps no weight. Rounds end
     when no factor differs from 1 by more than TOLERANCE, or after ROUNDS rounds, as margins
-    that contradict each other have no solution. Only the factors are reckoned anew: a sum for
-    each value, combined before the shuffle.
+    that contradict each other have no solution.
+
+    Up to CELLS cells are raked on the driver, more by Spark; both do the same steps. With a
+    few sources, languages and topics there are some hundred cells, whatever the number of
+    documents.
     """
-    rows = scratch.keep(cells.filter("tokens > 0").withColumn("weight", F.lit(1.0)), "weights")
+    rows = cells.filter("tokens > 0")
+    rake_them = _rake_here if rows.limit(CELLS + 1).count() <= CELLS else _rake_spark
+    return rake_them(rows, targets, scratch)
+
+
+def _rake_here(cells: DataFrame, targets: Mapping[str, DataFrame], scratch: Scratch) -> DataFrame:
+    found = cells.select(*targets, "tokens").toPandas()
+    tokens = found["tokens"].to_numpy(float)
+    weights, total = np.ones(len(found)), tokens.sum()
+    wanted = []
+    for margin, shares in targets.items():
+        values, code = np.unique(found[margin].to_numpy(str), return_inverse=True)
+        # as many rows as there are values, or targets given
+        present = dict(shares.join(cells.select(F.col(margin).alias("value")).distinct(), "value").select("value", "share").collect())
+        share = np.array([present.get(v, 0.0) for v in values])
+        wanted.append((code, share / (share.sum() or 1.0) * total))
+    for _ in range(ROUNDS):
+        off = 0.0
+        for code, goal in wanted:
+            sums = np.bincount(code, weights * tokens, len(goal))
+            factor = np.divide(goal, sums, out=np.zeros(len(goal)), where=sums != 0)[code]
+            weights *= factor
+            off = max(off, float(np.abs(factor - 1)[weights > 0].max(initial=0.0)))
+        if off <= TOLERANCE:
+            break
+    found["weight"] = weights
+    schema = cells.select(*targets, "tokens").schema.add("weight", "double")
+    return cells.sparkSession.createDataFrame(found, schema) if len(found) else cells.withColumn("weight", F.lit(1.0))
+
+
+def _rake_spark(cells: DataFrame, targets: Mapping[str, DataFrame], scratch: Scratch) -> DataFrame:
+    """Only the factors are reckoned anew: a sum for each value, combined before the shuffle."""
+    rows = scratch.keep(cells.withColumn("weight", F.lit(1.0)), "weights")
     wanted = {}
     for margin, shares in targets.items():
         present = rows.select(F.col(margin).alias("value")).distinct().join(shares, "value")

@@ -14,9 +14,11 @@ them, whatever the corpus, so it can be broadcast); rarer ones share the largest
 Equal texts are one from the start. Within a bucket no pair is made that is not needed:
 members are verified against one pivot, then those of other components against a few more.
 Large buckets that are still not one component owe it to a passage that many documents share;
-what is apart in them is compared by its samples, in tiles within the tasks. Pairs go on to be
-verified unless their total weights rule out the threshold, or fewer than `AGREE` samples agree,
-which at the threshold is rarer than that a pair shares no band at all.
+what is apart in them is compared in tiles within the tasks. Pairs go on to be verified unless a
+bound on their similarity rules out the threshold. The bound comes from the weights of either
+text summed over `SUMS` cells of its shingles: what two texts share in a cell is at most the
+smaller sum. Before it only pairs go of which fewer than `AGREE` samples agree, at the threshold
+one in ten million.
 
 Nodes are distinct texts, each with a number of its own, so that bands, samples and text of a
 node always belong together. Texts of one document are linked as such.
@@ -48,8 +50,14 @@ TABLE_BITS = 16
 #: Pivots of a bucket in the second round.
 PIVOTS = 8
 #: Samples two texts must agree in to be verified without a pivot: at the threshold 64 of 80 are
-#: expected, and fewer than 52 seen once in 2,000 pairs; bands miss four times as many.
-AGREE = 52
+#: expected, and fewer than 44 seen once in ten million pairs; bands miss 20,000 times as many.
+AGREE = 44
+#: Cells a text's shingles are summed in, a power of two. Sums are kept as bytes, rounded up to a
+#: step of GRID; those beyond the last step stand for no bound.
+SUMS = 256
+GRID = np.concatenate([[0.0], 0.9 * 1.03 ** np.arange(254), [np.inf]])
+#: Pairs whose sums are compared at once.
+PAIRS_CHUNK = 8192
 TILE_ROWS, TILE_CHUNK = 2048, 256
 #: Nodes whose texts are needed that may be broadcast to the scan of the texts.
 BROADCAST_IDS = 1_000_000
@@ -122,6 +130,21 @@ def cells(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - CELL_BITS)).astype(np.intp)
 
 
+def cell_sums(distinct: np.ndarray, weights: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each of the sets of these sizes the summed weights of its cells, as steps of GRID."""
+    own = np.repeat(np.arange(len(sizes)), sizes) * SUMS + (distinct % np.uint64(SUMS)).astype(np.intp)
+    sums = np.bincount(own, weights, minlength=len(sizes) * SUMS)
+    # rounding up, and a little more than the errors of a sum
+    return np.searchsorted(GRID, sums * (1 + 1e-9)).astype(np.uint8).reshape(len(sizes), SUMS)
+
+
+def most_similar(left: np.ndarray, right: np.ndarray, left_totals: np.ndarray, right_totals: np.ndarray) -> np.ndarray:
+    """What the weighted Jaccard similarity of pairs of sets is at most, by their cell sums."""
+    both = GRID[np.minimum(left, right)].sum(axis=1)
+    both = np.minimum(both, np.minimum(left_totals, right_totals))
+    return both / (left_totals + right_totals - both)
+
+
 def _sets(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first row, distinct shingles, their counts, bounds of the texts), part by part."""
     hasher = Hasher()
@@ -204,17 +227,20 @@ def _signer(weights: Weights) -> Callable:
             for at, distinct, counts, bounds in _sets(batch.column("text")):
                 full = np.flatnonzero(np.diff(bounds))
                 bands, samples = np.zeros((0, BANDS), np.uint64), np.zeros((0, BANDS * ROWS), np.uint8)
-                totals = np.zeros(0)
+                totals, sums = np.zeros(0), np.zeros((0, SUMS), np.uint8)
                 if len(full):
                     logs = weights.log(distinct, counts)
-                    totals = np.add.reduceat(np.exp(logs), bounds[:-1][full])
+                    values = np.exp(logs)
+                    totals = np.add.reduceat(values, bounds[:-1][full])
+                    sums = cell_sums(distinct, values, np.diff(bounds)[full])
                     bands, samples = sampler.bands(distinct, logs.astype(np.float32), bounds[:-1][full])
                 flat = pa.array(bands.ravel().view(np.int64), pa.int64())
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(full) + 1) * BANDS, pa.int32()), flat)
                 kept = batch.take(pa.array(full + at))
+                packed = [pa.array([s.tobytes() for s in rows], pa.binary()) for rows in (samples, sums)]
                 yield pa.RecordBatch.from_arrays(
-                    [kept.column("doc_id"), kept.column("h1"), kept.column("h2"), lists, pa.array([s.tobytes() for s in samples], pa.binary()), pa.array(totals)],
-                    names=["doc_id", "h1", "h2", "bands", "samples", "total"],
+                    [kept.column("doc_id"), kept.column("h1"), kept.column("h2"), lists, *packed, pa.array(totals)],
+                    names=["doc_id", "h1", "h2", "bands", "samples", "sums", "total"],
                 )
 
     return sign
@@ -246,8 +272,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     Documents link if their weighted Jaccard similarity is at least `threshold`, or if their
     texts are equal and not empty. A pair shares a band with a probability of 0.998 at 0.8 and
-    agrees in enough samples with 0.9995, more above: the first alone makes it a candidate if one
-    of the two is a pivot, both together always. A text of fewer than five words is one shingle
+    agrees in enough samples with 0.9999999, more above; a pair that does both is a candidate. A text of fewer than five words is one shingle
     of all its words. NULL and empty texts link with nothing, texts without any word only with
     equal ones. Rows that share a doc_id are one document, which links by each of its texts. Rows
     without an id link with nothing: class_id NULL, kept true.
@@ -272,10 +297,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     nodes = ids.groupBy("h1", "h2").agg(F.min("doc_id").alias("least")).withColumn("node", F.monotonically_increasing_id())
     nodes = scratch.keep(nodes, "nodes")
     named = nodes.select("h1", "h2", F.col("least").alias("doc_id"), "node")
-    signed = scratch.keep(texts.mapInArrow(sign, "doc_id long, h1 long, h2 long, bands array<long>, samples binary, total double"), "signed")
+    signed = scratch.keep(texts.mapInArrow(sign, "doc_id long, h1 long, h2 long, bands array<long>, samples binary, sums binary, total double"), "signed")
     # repeated rows of a node's document hold its one text, so all of them have the same values
     first = signed.join(named, ["h1", "h2", "doc_id"]).groupBy(F.col("node").alias("id"))
-    first = scratch.keep(first.agg(*(F.first(c).alias(c) for c in ("bands", "samples", "total"))), "first")
+    first = scratch.keep(first.agg(*(F.first(c).alias(c) for c in ("bands", "samples", "sums", "total"))), "first")
     members = first.select("id", F.posexplode("bands").alias("band", "hash"))
     members = scratch.keep(members, "members")
     crowded = members.groupBy("band", "hash").agg(F.min("id").alias("least"), F.max("id").alias("most"))
@@ -334,12 +359,12 @@ def _pairs(
 
 
 def _close_pairs(members: DataFrame, signed: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
-    """Pairs of different components that share a bucket and at least `AGREE` samples.
+    """Pairs of different components that share a bucket and may reach the threshold.
 
-    A bucket is compared in tiles of at most TILE_ROWS by TILE_ROWS texts, whose samples are
-    bytes; only pairs that agree leave the task, each from the first bucket it shares. Their
-    similarity is at most the smaller total weight over the larger, so pairs for which that is
-    below the threshold stay.
+    A bucket is compared in tiles of at most TILE_ROWS by TILE_ROWS texts, whose samples and cell
+    sums are bytes. Only pairs leave the task that agree in `AGREE` samples and whose similarity
+    may be the threshold by their total weights and their cell sums, each from the first bucket
+    it shares.
     """
     open_ = members.groupBy("band", "hash").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("count")
@@ -349,34 +374,40 @@ def _close_pairs(members: DataFrame, signed: DataFrame, threshold: float, scratc
     rows = rows.join(signed, "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    least = threshold - 1e-9
 
-    def agree(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+    def near(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         band, _, low, high = (int(k) for k in key)
         left, right = frame[frame["block"] == low], frame[frame["block"] == high]
         found = [np.zeros((0, 2), np.int64)]
         if len(left) and len(right):
-            ids, samples, groups, bands, totals = _columns(right)
+            ids, samples, sums, groups, bands, totals = _columns(right)
             for at in range(0, len(left), TILE_CHUNK):
-                own_ids, own_samples, own_groups, own_bands, own_totals = _columns(left.iloc[at : at + TILE_CHUNK])
+                own_ids, own_samples, own_sums, own_groups, own_bands, own_totals = _columns(left.iloc[at : at + TILE_CHUNK])
                 same = np.zeros((len(own_ids), len(ids)), np.uint8)
                 for k in range(BANDS * ROWS):
                     same += own_samples[:, k, None] == samples[None, :, k]
-                possible = np.minimum(own_totals[:, None], totals) >= (threshold - 1e-9) * np.maximum(own_totals[:, None], totals)
+                possible = np.minimum(own_totals[:, None], totals) >= least * np.maximum(own_totals[:, None], totals)
                 i, j = np.nonzero((same >= AGREE) & (own_groups[:, None] != groups[None, :]) & possible)
                 first = (own_bands[i] == bands[j]).argmax(axis=1) == band
                 if low == high:
                     first &= own_ids[i] > ids[j]
-                found.append(np.stack([own_ids[i[first]], ids[j[first]]], axis=1))
+                i, j = i[first], j[first]
+                for part in range(0, len(i), PAIRS_CHUNK):
+                    a, b = i[part : part + PAIRS_CHUNK], j[part : part + PAIRS_CHUNK]
+                    close = most_similar(own_sums[a], sums[b], own_totals[a], totals[b]) >= least
+                    found.append(np.stack([own_ids[a[close]], ids[b[close]]], axis=1))
         pairs = np.concatenate(found)
         return pd.DataFrame({"a": pairs.max(axis=1, initial=-(2**63)), "b": pairs.min(axis=1, initial=2**63 - 1)})
 
-    chosen = rows.select("band", "hash", "low", "high", "block", "id", "component", "bands", "samples", "total")
-    return chosen.groupBy("band", "hash", "low", "high").applyInPandas(agree, "a long, b long").distinct()
+    chosen = rows.select("band", "hash", "low", "high", "block", "id", "component", "bands", "samples", "sums", "total")
+    return chosen.groupBy("band", "hash", "low", "high").applyInPandas(near, "a long, b long").distinct()
 
 
 def _columns(frame: pd.DataFrame) -> tuple[np.ndarray, ...]:
     samples = np.frombuffer(b"".join(frame["samples"]), np.uint8).reshape(len(frame), BANDS * ROWS)
-    return frame["id"].to_numpy(), samples, frame["component"].to_numpy(), np.stack(frame["bands"].to_list()), frame["total"].to_numpy()
+    sums = np.frombuffer(b"".join(frame["sums"]), np.uint8).reshape(len(frame), SUMS)
+    return frame["id"].to_numpy(), samples, sums, frame["component"].to_numpy(), np.stack(frame["bands"].to_list()), frame["total"].to_numpy()
 
 
 def _with_texts(pairs: DataFrame, texts: DataFrame, named: DataFrame) -> DataFrame:

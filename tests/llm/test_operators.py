@@ -649,6 +649,43 @@ def test_near_duplicates(spark, monkeypatch):
     assert all(r.kept == (r.class_id == r.doc_id) for r in out)
 
 
+def test_near_duplicates_bound_is_never_below_the_similarity():
+    """Sets of 0 to 30,000 shingles, some of them with counts beyond the last step of the grid."""
+    rng = np.random.default_rng(9)
+    sets = []
+    for size in (1, 3, 40, 100, 100, 900, 30_000):
+        base = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+        for kept in (1.0, 0.95, 0.85, 0.6):
+            own = np.unique(np.append(base[rng.random(len(base)) < kept], rng.integers(0, 2**64, size // 9 + 1, dtype=np.uint64)))
+            sets.append((own, rng.choice([1.0, 1.07, 2.6, 5000.0], len(own), p=[0.5, 0.4, 0.09, 0.01])))
+    sizes, values = np.array([len(a) for a, _ in sets]), np.concatenate([w for _, w in sets])
+    sums = near_dup.cell_sums(np.concatenate([a for a, _ in sets]), values, sizes)
+    totals = np.array([w.sum() for _, w in sets])
+    i, j = np.triu_indices(len(sets))
+    bound = near_dup.most_similar(sums[i], sums[j], totals[i], totals[j])
+    true = np.array([near_dup.similarity(sets[a], sets[b]) for a, b in zip(i, j, strict=True)])
+    assert (bound >= true - 1e-9).all()
+    small = (sizes[i] < 200) & (sizes[j] < 200) & (true < 0.6)
+    assert (bound[small] < 0.8).mean() > 0.9
+
+
+def test_near_duplicates_with_a_shared_passage_make_few_pairs(spark, monkeypatch):
+    """Texts alike by two thirds agree in many samples; the bound keeps them from being verified."""
+    made, close = [], near_dup._close_pairs
+
+    def counted(*args):
+        made.append(close(*args).cache())
+        return made[-1]
+
+    monkeypatch.setattr(near_dup, "_close_pairs", counted)
+    passage = prose(99, 100)
+    rows = [(i, f"{passage} {prose(300 + i, 25)}") for i in range(150)]
+    rows += [(1000 + i, f"{passage} {prose(300 + 9 * i, 25)} end") for i in range(10)]
+    out = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in out} == brute_near(rows)
+    assert made and made[0].count() < 200
+
+
 def test_near_duplicates_of_odd_rows(docs, none):
     assert near_dup.near_duplicates(none).count() == 0
     out = {(r.doc_id, r.text): (r.class_id, r.kept) for r in near_dup.near_duplicates(docs).collect()}

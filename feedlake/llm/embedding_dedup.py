@@ -104,7 +104,11 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
 
 def _fit(spark: SparkSession, distinct: DataFrame, dim: int, rows: int, trees: int, threshold: float) -> list[Tree]:
     """A forest on the `FIT_ROWS` vectors of smallest hash; all of them if there are fewer."""
-    sample = distinct.filter(F.col("dim") == dim).orderBy(F.xxhash64("vector"), "vec_id").limit(FIT_ROWS)
+    sample = distinct.filter(F.col("dim") == dim)
+    share = 1.2 * FIT_ROWS / max(1, rows)
+    if share < 1:  # hashes that far down hold them, so no partition has to send as many
+        sample = sample.filter(F.xxhash64("vector") < F.lit(int(share * 2**64) - 2**63))
+    sample = sample.orderBy(F.xxhash64("vector"), "vec_id").limit(FIT_ROWS)
     unit = _unit(_matrix(sample.select("vector").toPandas()["vector"]))
     depth = max(0, math.ceil(math.log2(rows / TARGET_ROWS)))
     return [Tree(unit, depth, 1000 * dim + t, threshold) for t in range(trees)]

@@ -343,6 +343,18 @@ def brute_vectors(vectors, threshold):
     return {i: (int(near[k].sum()), find(i)) for k, i in enumerate(ids)}
 
 
+def test_forest_is_fitted_on_the_vectors_of_smallest_hash(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "FIT_ROWS", 400)
+    fitted = []
+    monkeypatch.setattr(embedding_dedup, "_unit", lambda v: fitted.append(v) or v)
+    monkeypatch.setattr(embedding_dedup, "Tree", lambda *args: None)
+    vectors = np.random.default_rng(3).normal(size=(2000, 2))
+    rows = spark.createDataFrame([(i, 2, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, dim int, vector array<double>")
+    embedding_dedup._fit(spark, rows, 2, 2000, 1, 0.95)
+    wanted = [r.vector for r in rows.orderBy(F.xxhash64("vector")).limit(400).collect()]
+    assert fitted[0].tolist() == wanted
+
+
 def test_embedding_near_duplicates(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "TARGET_ROWS", 40)
     monkeypatch.setattr(embedding_dedup, "LEAF_ROWS", 25)
@@ -405,6 +417,18 @@ def test_lm_base_and_odd_rows(docs, none):
     assert lm.score_texts(none, ~held).count() == 0
 
 
+def test_lm_head_is_the_most_frequent_words(spark, monkeypatch):
+    rows = [(i, 1 + (i % 40) ** 3) for i in range(400)]
+    words = spark.createDataFrame(rows, "word long, count long")
+    for most in (5, 100, 1000):
+        monkeypatch.setattr(lm, "HEAD", most)
+        head = [r["count"] for r in lm._head(words).collect()]
+        left = sorted((c for _, c in rows), reverse=True)[len(head):]
+        assert len(head) <= most and (not head or not left or min(head) > max(left))
+        assert len(head) == {5: 0, 100: 100, 1000: 400}[most]
+    assert lm._head(words.limit(0)).count() == 0
+
+
 def test_lm_rare_words_meet_their_counts(docs, monkeypatch):
     held = id_remainder("doc_id", 7) == 2
     key = lambda r: (str(r.doc_id), r.n_tokens)

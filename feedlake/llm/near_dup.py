@@ -43,6 +43,8 @@ BANDS, ROWS = 16, 5
 FREQUENT = 1 << 17
 #: Cells of the filter that finds frequent shingles, as a power of two.
 CELL_BITS = 20
+#: Cells whose counts travel together, and shingles a task counts before it passes them on.
+CELL_BLOCK, HELD = 1 << 14, 1 << 20
 #: How much a shingle in every document weighs less than one in none: 1 against 1 + IDF * ln(N).
 IDF = 0.05
 #: Draws for the samples come from tables of so many entries, looked up by hash.
@@ -161,47 +163,83 @@ def _sets(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.nda
 
 
 def _count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cells that are frequent among this partition's shingles, and how many there are in all.
+    """How many of this partition's shingles lie in each cell, packed by block of cells.
 
-    A shingle that is frequent in the corpus is so in a partition at least, and so is its cell.
+    Counts take the fewest bytes that hold the largest of a block.
     """
-    found, total = np.zeros(1 << CELL_BITS, np.int64), 0
+    found = np.zeros(1 << CELL_BITS, np.int64)
     for batch in batches:
         for _, distinct, _, _ in _sets(batch.column(0)):
             found += np.bincount(cells(distinct), minlength=1 << CELL_BITS)
-            total += len(distinct)
-    often = np.flatnonzero((found > 0) & (found * FREQUENT >= total))
+    full = [(n, row) for n, row in enumerate(found.reshape(-1, CELL_BLOCK)) if row.any()]
+    packed = [row.astype(np.min_scalar_type(row.max())) for _, row in full]
     yield pa.RecordBatch.from_arrays(
-        [pa.array(np.append(often, -1), pa.int64()), pa.array(np.append(np.zeros(len(often), np.int64), total), pa.int64())],
-        names=["cell", "total"],
+        [
+            pa.array([n for n, _ in full], pa.int32()),
+            pa.array([counts.itemsize for counts in packed], pa.int32()),
+            pa.array([counts.tobytes() for counts in packed], pa.binary()),
+        ],
+        names=["block", "width", "counts"],
     )
 
 
+def _sum_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The cells of whole blocks with their sums; a block is added to its sum as it comes."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for block, width, counts in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            own = sums.setdefault(block, np.zeros(CELL_BLOCK, np.int64))
+            own += np.frombuffer(counts, f"u{width}").astype(np.int64)
+    for block, own in sums.items():
+        at = np.flatnonzero(own)
+        yield pa.RecordBatch.from_arrays([pa.array(at + block * CELL_BLOCK), pa.array(own[at])], names=["cell", "shingles"])
+
+
+def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of several (shingles, counts) with their summed counts."""
+    shingle = np.concatenate([hashes for hashes, _ in parts])
+    counts = np.concatenate([counts for _, counts in parts])
+    distinct, place = np.unique(shingle, return_inverse=True)
+    return distinct, np.bincount(place, counts, minlength=len(distinct)).astype(np.int64)
+
+
 def shingle_weights(docs: DataFrame) -> Weights:
-    """Exact document frequencies of the frequent shingles of all documents."""
+    """Exact document frequencies of the frequent shingles of all documents.
+
+    A first pass sums the shingles of each cell over all partitions. A frequent shingle makes its
+    cell frequent, and so the second pass counts one by one only what lies in such cells, of
+    which there are at most `FREQUENT`.
+    """
     texts = docs.select("text")
-    spread = texts.mapInArrow(_count_cells, "cell long, total long")
-    # at most 2**CELL_BITS cells, and one sum
-    seen = spread.groupBy("cell").agg(F.sum("total").alias("total")).toPandas()
-    total = int(seen.loc[seen["cell"] < 0, "total"].sum())
+    spread = texts.mapInArrow(_count_cells, "block int, width int, counts binary").repartition("block")
+    # at most 2**CELL_BITS cells, written once as it is passed twice
+    sums = Scratch(docs.sparkSession, "shingles").keep(spread.mapInArrow(_sum_cells, "cell long, shingles long"), "cells")
+    total = sums.agg(F.sum("shingles")).first()[0] or 0
+    least = total / FREQUENT
     candidate = np.zeros(1 << CELL_BITS, bool)
-    candidate[seen.loc[seen["cell"] >= 0, "cell"].to_numpy()] = True
+    candidate[sums.filter(F.col("shingles") >= F.lit(least)).toPandas()["cell"].to_numpy(np.int64)] = True
     packed = np.packbits(candidate).tobytes()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.unpackbits(np.frombuffer(packed, np.uint8)).astype(bool)
+        none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        parts = [none]
+
+        def summed() -> pa.RecordBatch:
+            shingle, counts = _merge(parts)
+            return pa.RecordBatch.from_arrays([pa.array(shingle.view(np.int64)), pa.array(counts)], names=["shingle", "documents"])
+
         for batch in batches:
             for _, distinct, _, _ in _sets(batch.column(0)):
-                kept = np.sort(distinct[wanted[cells(distinct)]])
-                new = np.ones(len(kept), bool)
-                new[1:] = kept[1:] != kept[:-1]
-                places = np.flatnonzero(new)
-                counts = np.diff(np.append(places, len(kept)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(kept[places].view(np.int64)), pa.array(counts.astype(np.int64))], names=["shingle", "documents"]
-                )
+                kept = distinct[wanted[cells(distinct)]]
+                parts.append((kept, np.ones(len(kept), np.int64)))
+                if sum(len(hashes) for hashes, _ in parts) > HELD:
+                    parts = [_merge(parts)]
+                    if len(parts[0][0]) > HELD // 2:
+                        yield summed()
+                        parts = [none]
+        yield summed()
 
-    least = total / FREQUENT
     counts = texts.mapInArrow(count, "shingle long, documents long").groupBy("shingle").agg(F.sum("documents").alias("documents"))
     # at most FREQUENT rows reach this share
     frequent = counts.filter(F.col("documents") >= F.lit(least)).toPandas()

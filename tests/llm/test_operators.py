@@ -676,13 +676,13 @@ def test_near_duplicates(spark, monkeypatch):
 @pytest.mark.parametrize("partitions, held", [(1, 1 << 20), (6, 1 << 20), (3, 64)])
 def test_document_frequencies_over_partitions(docs, monkeypatch, partitions, held):
     monkeypatch.setattr(near_dup, "HELD", held)
-    monkeypatch.setattr(near_dup, "FREQUENT", 1 << 13)
+    monkeypatch.setattr(near_dup, "FREQUENT", 1 << 14)
     texts = docs.select("text").repartition(partitions)
     weights = near_dup.shingle_weights(texts)
     column = texts.toArrow().column(0).combine_chunks()
     found = np.concatenate([distinct for _, distinct, _, _ in near_dup._sets(column)])
     distinct, counts = np.unique(found, return_counts=True)
-    often = counts >= len(found) / (1 << 13)
+    often = counts >= len(found) / (1 << 14)
     assert 0 < often.sum() < len(often)
     assert weights.hashes.tolist() == distinct[often].tolist()
     assert weights.counts.tolist() == counts[often].tolist()

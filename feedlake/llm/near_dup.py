@@ -12,7 +12,8 @@ Document frequencies are exact over all documents. Only shingles that make up at
 them, whatever the corpus, so it can be broadcast); rarer ones share the largest idf.
 
 Equal texts are one from the start. Within a bucket no pair is made that is not needed:
-members are verified against one pivot, then those of other components against a few more.
+members are verified against one pivot, of a few bands first and then, where components are still
+apart, of all; then against a few more pivots.
 Large buckets that are still not one component owe it to a passage that many documents share;
 what is apart in them is compared in tiles within the tasks. Pairs go on to be verified unless a
 bound on their similarity rules out the threshold. The bound comes from the weights of either
@@ -49,8 +50,9 @@ CELL_BLOCK, HELD = 1 << 14, 1 << 20
 IDF = 0.05
 #: Draws for the samples come from tables of so many entries, looked up by hash.
 TABLE_BITS = 16
-#: Pivots of a bucket in the second round.
-PIVOTS = 8
+#: Rounds of (bands, pivots of a bucket). A few bands link most of a group to one pivot, so that the
+#: others need not bring the same pair again; no pivots stand for `_close_pairs`.
+SEARCH = ((4, 1), (BANDS, 1), (BANDS, 8), (BANDS, 0))
 #: Samples two texts must agree in to be verified without a pivot: at the threshold 64 of 80 are
 #: expected, and fewer than 44 seen once in ten million pairs; bands miss 20,000 times as many.
 AGREE = 44
@@ -350,8 +352,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     own_links = held.join(several.select("doc_id", "b"), "doc_id").filter("node <> b").select(F.col("node").alias("a"), "b")
     links = scratch.keep(own_links, "links")
     groups = None
-    for pivots in (1, PIVOTS, 0):
-        pairs = scratch.keep(_pairs(members, groups, pivots, first, threshold, scratch), "pairs")
+    for bands, pivots in SEARCH:
+        searched = members.filter(F.col("band") < bands)
+        pairs = scratch.keep(_pairs(searched, groups, pivots, first, threshold, scratch), "pairs")
         if pairs.isEmpty():
             continue
         found = scratch.keep(_with_texts(pairs, texts, named).mapInArrow(verify, "a long, b long"), "verified")
@@ -391,9 +394,14 @@ def _pairs(
     chosen = members.groupBy("band", "hash", salt.alias("salt")).agg(
         F.min_by(F.struct("id", "component"), "id").alias("p")
     )
-    chosen = chosen.select("band", "hash", F.col("p.id").alias("pivot"), F.col("p.component").alias("other"))
-    joined = members.join(chosen, ["band", "hash"]).filter(F.col("component") != F.col("other"))
-    return joined.select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")).distinct()
+    # as many as `pivots`
+    chosen = chosen.groupBy("band", "hash").agg(F.collect_list("p").alias("pivots"))
+    others = F.transform(F.filter("pivots", lambda p: p["component"] != F.col("component")), lambda p: p["id"])
+    joined = members.join(chosen, ["band", "hash"]).select("id", others.alias("others")).filter(F.size("others") > 0)
+    # a text meets the same pivot in several bands; it has one list a band
+    joined = joined.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others"))
+    found = joined.select("id", F.explode("others").alias("pivot"))
+    return found.select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")).distinct()
 
 
 def _close_pairs(members: DataFrame, signed: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:

@@ -142,3 +142,21 @@ def test_merge_statement_is_resolved_but_needs_a_catalog_that_supports_it(spark)
     frame(spark, [(1, "a", "b")]).write.mode("overwrite").saveAsTable("plain_parquet")
     with pytest.raises(PySparkException, match="(?i)merge"):
         merge_into(frame(spark, [(1, "x", "y")]), "plain_parquet", ["k"])
+
+
+def test_only_rows_of_repeated_keys_are_grouped(spark, tmp_path, monkeypatch):
+    from feedlake.operators import newest
+
+    rows = [(k, day, at, f"v{at}") for k in range(40) for day in ("x", "y") for at in range(1 + (k % 10 == 0) + (k == 0))]
+    rows += [(None, "x", 1, "a"), (None, "x", 2, "b"), (7, None, 1, "c")] + [(3, "z", 5, "same")] * 2
+    df = spark.createDataFrame(rows, "k int, day string, at int, v string")
+    want = sorted(map(tuple, newest.newest_per_key(df, ["k", "day"], ["at"]).collect()), key=str)
+    found = newest.newest_of_repeated(df, ["k", "day"], ["at"], str(tmp_path / "a"))
+    assert sorted(map(tuple, found.collect()), key=str) == want
+    # ten keys that repeat, and those alone
+    assert spark.read.parquet(str(tmp_path / "a")).count() == 10
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "Union" in plan
+    monkeypatch.setattr(newest, "BROADCAST_KEYS", 2)
+    found = newest.newest_of_repeated(df, ["k", "day"], ["at"], str(tmp_path / "b"))
+    assert sorted(map(tuple, found.collect()), key=str) == want

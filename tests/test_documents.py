@@ -12,6 +12,7 @@ from feedlake.sources.documents import (
     list_objects,
     parse_documents,
     read_documents,
+    read_objects,
     rejected_documents,
     require_valid,
     valid_documents,
@@ -118,6 +119,19 @@ def test_landed_documents_come_back_unchanged(spark, tmp_path):
     ]
 
 
+def test_landed_files_are_packed_and_read_by_tasks(spark, tmp_path):
+    texts = [document({"2025-05-01": [asteroid()] * 40})] * 200
+    landed = spark.createDataFrame([(t, "2025-05-01") for t in texts], "document string, day string").select(
+        "document", F.to_date("day").alias("start_date"), F.to_date("day").alias("end_date")
+    )
+    landing = str(tmp_path / "bronze")
+    land_documents(landed, landing)
+    objects = list_objects(spark, landing)
+    assert objects.agg(F.sum("length")).head()[0] < sum(map(len, texts)) / 5
+    read = read_objects(objects, landing)
+    assert [r.document for r in read.collect()] == texts and read.filter("error IS NOT NULL").isEmpty()
+
+
 def test_objects_of_other_clients(spark, tmp_path):
     landing = tmp_path / "2020-01-01_dump" / "bronze"
     land(landing, "neo-2025-05-01_2025-05-07.json", json.dumps(json.loads(GOOD), indent=1))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from feeds import approach, asteroid, document, land
 from feedlake.plans import jobs
 from feedlake.sources import tables
-from feedlake.sources.documents import list_objects
+from feedlake.sources.documents import list_objects, read_documents
 from feedlake.sources.schemas import SILVER_COLUMNS
 from feedlake.streaming.increment import oldest_first, pending_objects, read_rejected
 
@@ -229,6 +229,18 @@ def test_landed_files_number_as_the_ranges(spark, sf_dir, tmp_path):
     assert list_objects(spark, f"{tmp_path}/bronze").count() <= ranges + 40
 
 
+def test_gathered_documents_are_landed_where_they_are(spark, sf_dir, tmp_path):
+    from feedlake.plans import synthetic
+    from feedlake.sources.documents import land_documents
+
+    documents = tables.keep(synthetic.feed_documents(spark, sf_dir), f"{tmp_path}/kept")
+    land_documents(synthetic.feed_documents(spark, sf_dir), f"{tmp_path}/bronze", gathered=True)
+    objects = list_objects(spark, f"{tmp_path}/bronze")
+    ranges = documents.select("start_date").distinct().count()
+    assert ranges <= objects.count() <= ranges + documents.count() / synthetic.TOGETHER
+    assert read_documents(spark, f"{tmp_path}/bronze").count() == documents.count()
+
+
 def test_failed_load_leaves_objects_pending(lake, spark, monkeypatch):
     from feedlake.streaming import increment
 

@@ -1,4 +1,5 @@
 import json
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from feedlake.functions import names
 from feedlake.sources.documents import (
     RejectedDocuments,
     encode_documents,
+    keep_documents,
     land_documents,
     list_objects,
     parse_documents,
@@ -132,6 +134,16 @@ def test_landed_files_are_packed_and_read_by_tasks(spark, tmp_path):
     assert [r.document for r in read.collect()] == texts and read.filter("error IS NOT NULL").isEmpty()
 
 
+def test_kept_documents_are_not_read_in_columns(spark, tmp_path):
+    rows = [(date(2025, 5, 1), None, GOOD), (None, date(2025, 5, 7), "{broken\nover lines"), (None, None, None), (None, None, "")]
+    documents = spark.createDataFrame(rows, "start_date date, end_date date, document string")
+    kept = keep_documents(documents, str(tmp_path / "kept"))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(rows, key=str)
+    assert "Batched: true" not in kept._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+
+
 def test_objects_of_other_clients(spark, tmp_path):
     landing = tmp_path / "2020-01-01_dump" / "bronze"
     land(landing, "neo-2025-05-01_2025-05-07.json", json.dumps(json.loads(GOOD), indent=1))

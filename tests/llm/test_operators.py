@@ -4,8 +4,10 @@ import hashlib
 import html as entities
 import math
 import re
+import uuid
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -456,6 +458,25 @@ def test_lm_followers_of_all_training_documents(docs, monkeypatch):
     assert seen[0][0] == seen[0][1] > 0
 
 
+def test_lm_weights_see_every_training_document_once(docs, monkeypatch, tmp_path):
+    at, subwords = str(tmp_path), []
+    monkeypatch.setattr(lm, "Vocabulary", lambda counts, pairs, own=lm.Vocabulary: subwords.append(counts.sum()) or own(counts, pairs))
+
+    def counting(*given, own=lm._trainer):
+        run = own(*given)
+
+        def counted(batches):
+            for batch in run(batches):
+                (Path(at) / uuid.uuid4().hex).write_text(str(batch.column("seen")[0].as_py()))
+                yield batch
+
+        return counted
+
+    monkeypatch.setattr(lm, "_trainer", counting)
+    lm.score_texts(docs, F.col("doc_id") >= 0)
+    assert sum(int(f.read_text()) for f in tmp_path.iterdir()) == subwords[0] > 0
+
+
 def test_attention_gradients_and_causality():
     from feedlake.llm import attention
 

@@ -710,6 +710,24 @@ def test_document_frequencies_over_partitions(docs, monkeypatch, partitions, hel
     assert len(near_dup.shingle_weights(docs.limit(0)).hashes) == 0
 
 
+@pytest.mark.parametrize("held", [1 << 19, 64])
+def test_near_duplicates_weigh_rare_shingles_by_their_own_frequency(spark, monkeypatch, held):
+    """Pairs share shingles of two documents and differ in passages of many: with one idf for all
+    their similarity is 0.797, with each shingle's own 0.811."""
+    passages = [prose(7000 + k, 13) for k in range(8)]
+    rows = [(5000 + i, f"{passages[i % 8]} {prose(8000 + i, 30)}") for i in range(400)]
+    for i in range(30):
+        core = prose(9000 + i, 106)
+        rows += [(2 * i, f"{core} {passages[i % 8]}"), (2 * i + 1, f"{core} {passages[(i + 1) % 8]}")]
+    expected = brute_near(rows)
+    assert sum(expected[2 * i + 1] == 2 * i for i in range(30)) == 30
+    monkeypatch.setattr(near_dup, "HELD", held)
+    # one idf for all shingles, were it still a bound on those that have an own one
+    monkeypatch.setattr(near_dup, "FREQUENT", 1)
+    out = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in out} == expected
+
+
 def test_near_duplicates_bound_is_never_below_the_similarity():
     """Sets of 0 to 30,000 shingles, some of them with counts beyond the last step of the grid."""
     rng = np.random.default_rng(9)

@@ -728,6 +728,86 @@ def test_near_duplicates_weigh_rare_shingles_by_their_own_frequency(spark, monke
     assert {r.doc_id: r.class_id for r in out} == expected
 
 
+def test_samples_are_those_of_all_draws():
+    """Few draws are worked out: sets of one shingle to 40,000, some counted often, as by all of them."""
+    rng, sampler = np.random.default_rng(5), near_dup.Sampler()
+    sizes = [1, 2, 5, 40_000, *rng.integers(1, 900, 300).tolist(), 1]
+    hashes = rng.integers(0, 2**64, sum(sizes), dtype=np.uint64)
+    weights = np.log(rng.choice([1.0, 1.3, 1.6, 40.0], len(hashes), p=[0.5, 0.3, 0.15, 0.05])).astype(np.float32)
+    starts = np.cumsum([0, *sizes[:-1]])
+    drawn, draws = [], sampler._draws
+    sampler._draws = lambda mixed, own: drawn.append(len(mixed)) or draws(mixed, own)
+    bands, samples = sampler.bands(hashes, weights, starts)
+    assert sum(drawn) < 0.2 * len(hashes) * near_dup.BANDS * near_dup.ROWS
+    for band in range(near_dup.BANDS):
+        value = np.full(len(starts), np.uint64(band + 1))
+        for k in range(band * near_dup.ROWS, (band + 1) * near_dup.ROWS):
+            least = np.minimum.reduceat(draws(hashes * sampler.factors[k], weights), starts)
+            sample = words.mix(least.view(np.uint32).astype(np.uint64))
+            assert (samples[:, k] == sample >> np.uint64(56)).all()
+            value = words.mix(value ^ sample) + np.uint64(k)
+        assert (bands[:, band] == value).all()
+
+
+def test_sums_of_a_range_of_shingles_hold_few_copies():
+    """Sums and their places against plain counting; memory stays below seven times the hashes."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    pool = rng.integers(0, 2**64, 300_000, dtype=np.uint64)
+    own = [np.unique(rng.choice(pool, n)) for n in (60_000, 1, 90_000, 40_000, 0)]
+    counts = [rng.integers(1, most, len(o)) for o, most in zip(own, (3, 9, 700, 90_000, 2), strict=True)]
+    rows = pa.table(
+        {
+            "chunk": pa.array(range(5), pa.int64()),
+            "range": pa.array([0] * 5, pa.int64()),
+            "shingles": pa.array([o.tobytes() for o in own], pa.binary()),
+            "documents": pa.array([near_dup._packed(c) for c in counts], pa.binary()),
+        }
+    )
+    total = {}
+    for shingle, n in zip(np.concatenate(own).tolist(), np.concatenate(counts).tolist(), strict=True):
+        total[shingle] = total.get(shingle, 0) + n
+    tracemalloc.start()
+    out = near_dup._sum_range(pa.concat_tables([rows.slice(0, 2), rows.slice(2)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 7 * 8 * sum(map(len, own))
+    for row, o in zip(out.to_pylist(), own, strict=True):
+        assert near_dup._unpacked(row["documents"], row["size"]).tolist() == [total[s] for s in o.tolist()]
+
+
+def test_near_duplicates_deal_small_buckets_together():
+    """Buckets of a few texts are compared in groups, each bucket by itself."""
+    import pyarrow as pa
+
+    rows = [(b, h, i, i, s) for b in (0, 3) for h in range(200) for i, s in ((3 * h, 1), (3 * h + 1, 1), (3 * h + 2, 2))]
+
+    def column(kind, values):
+        return pa.array(list(values), kind)
+
+    sample = {1: bytes(80), 2: bytes([7] * 80)}
+    table = pa.table(
+        {
+            "band": column(pa.int32(), (r[0] for r in rows)),
+            "hash": column(pa.int64(), (r[1] for r in rows)),
+            **{c: column(pa.int32(), (0 for _ in rows)) for c in ("low", "high", "block")},
+            "id": column(pa.int64(), (r[2] for r in rows)),
+            "component": column(pa.int64(), (r[3] for r in rows)),
+            "bands": column(pa.list_(pa.int64()), ([r[1] if b in (0, 3) else 10**6 + 16 * r[2] + b for b in range(16)] for r in rows)),
+            "samples": column(pa.binary(), (sample[r[4]] for r in rows)),
+            "sums": column(pa.binary(), (bytes([100] * near_dup.SUMS) for _ in rows)),
+            "total": column(pa.float64(), (4000.0 for _ in rows)),
+        }
+    )
+    found = near_dup._tiles(0.8)(table.take(pa.array(np.random.default_rng(1).permutation(len(rows)))))
+    pairs = sorted(zip(found.column("a").to_pylist(), found.column("b").to_pylist(), strict=True))
+    # of both buckets that a pair shares the first one gives it
+    assert pairs == [(3 * h + 1, 3 * h) for h in range(200)]
+
+
 def test_near_duplicates_bound_is_never_below_the_similarity():
     """Sets of 0 to 30,000 shingles, some of them with counts beyond the last step of the grid."""
     rng = np.random.default_rng(9)

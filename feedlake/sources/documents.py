@@ -23,6 +23,8 @@ PIECE = 64 * 1024 * 1024
 PACKED = r"\.(gz|bz2|zst|lz4)$"
 #: Bytes of text that a byte of a packed object stands for, where reading is dealt to tasks.
 UNPACKED = 8
+#: Documents of a packed file at most, as one task reads it whole.
+FILE_DOCUMENTS = 1 << 16
 #: How text files are packed; the fastest level halves the time for a tenth more bytes.
 FAST_GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 ORIGIN = ["file_path", "object_name", "landed_at"]
@@ -37,7 +39,7 @@ def land_documents(documents: DataFrame, landing: str, prefix: str = "neo", gath
     """Append raw documents (`document`, `start_date`, `end_date`) unchanged.
 
     Files are packed, which JSON shrinks much by; every reader here unpacks them, each file in
-    one task.
+    one task, so a file holds FILE_DOCUMENTS at most.
 
     The range goes into the directory name, in the form objects landed by others use for
     their file name, so one parser serves both. Rows are brought together by range first, small
@@ -54,6 +56,7 @@ def land_documents(documents: DataFrame, landing: str, prefix: str = "neo", gath
         .write.mode("append")
         .partitionBy("object_name")
         .option("lineSep", RECORD_SEPARATOR)
+        .option("maxRecordsPerFile", FILE_DOCUMENTS)
         .options(**FAST_GZIP)
         .text(landing)
     )

@@ -72,6 +72,15 @@ def test_strict_mode(spark):
         require_valid(parse_documents(frame(spark, [GOOD, "{"])))
 
 
+def test_one_range_is_landed_in_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("feedlake.sources.documents.FILE_DOCUMENTS", 4)
+    texts = [GOOD, "{", *(f"text {i}" for i in range(8))]
+    days = [F.lit(date(2025, 5, 1)).alias(d) for d in ("start_date", "end_date")]
+    land_documents(frame(spark, texts).coalesce(1).select("document", *days), str(tmp_path))
+    assert len(list(tmp_path.glob("*/*.gz"))) == 3
+    assert sorted(r.document for r in read_documents(spark, str(tmp_path)).collect()) == sorted(texts)
+
+
 def test_whole_number_in_a_double_field(spark):
     text = document({"2025-05-01": [asteroid(absolute_magnitude_h=22)]})
     row = valid_documents(parse_documents(frame(spark, [text]))).head()

@@ -5,9 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from feeds import approach, asteroid, document, land
-from feedlake.plans import jobs
+from feedlake.plans import jobs, synthetic
 from feedlake.sources import tables
-from feedlake.sources.documents import list_objects, read_documents
+from feedlake.sources.documents import land_documents, list_objects, read_documents
 from feedlake.sources.schemas import SILVER_COLUMNS
 from feedlake.streaming.increment import oldest_first, pending_objects, read_rejected
 
@@ -317,3 +317,13 @@ def test_layers_end_to_end(lake, spark):
     assert tuple(views["bounds"].head()) == (date(2025, 5, 1), date(2025, 5, 8))
     assert views["miss_distances"].count() == 2
     assert sum(r.n for r in views["velocities"].collect()) == 2
+
+
+def test_a_first_load_in_order_stores_its_increment_once(spark, sf_dir, tmp_path, monkeypatch):
+    laid_out, kept = [], []
+    monkeypatch.setattr(tables, "_laid_out", lambda rows, by, grain, together=False, own=tables._laid_out: laid_out.append(together) or own(rows, by, grain, together))
+    monkeypatch.setattr(tables, "keep", lambda rows, path, *given, own=tables.keep: kept.append(path.rsplit("/", 1)[-1]) or own(rows, path, *given))
+    land_documents(synthetic.feed_documents(spark, sf_dir), f"{tmp_path}/bronze", gathered=True)
+    names = [f"{tmp_path}/{x}" for x in ("bronze", "silver", "rejected", "ledger")]
+    assert jobs.bronze_to_silver(spark, *names, "first", tables.MONTH).rows > 5000
+    assert laid_out == [True] and "staged" in kept and "increment" not in kept

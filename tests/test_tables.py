@@ -1,6 +1,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from feedlake.operators import upsert
 from feedlake.operators.upsert import _among, _row_bytes, upsert_table
@@ -164,3 +165,15 @@ def test_scratch_is_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = tables.scratch(spark, "x"), tables.scratch(spark, "x")
     assert first.startswith(shared) and first != second
+
+
+def test_rows_that_lie_together_are_not_exchanged(spark, tmp_path):
+    days = spark.range(0, 800, 1, 4).select(F.date_add(F.lit(D1), (F.col("id") / 4).cast("int")).alias("d"), "id")
+    days.write.parquet(f"{tmp_path}/ordered")
+    days.repartition(40, "id").write.parquet(f"{tmp_path}/dealt")
+    ordered, dealt = (spark.read.parquet(f"{tmp_path}/{x}") for x in ("ordered", "dealt"))
+    assert tables.gathered(ordered, "d", tables.MONTH) and not tables.gathered(dealt, "d", tables.MONTH)
+    assert "Exchange" not in tables._laid_out(ordered, "d", tables.MONTH, True)._jdf.queryExecution().executedPlan().toString()
+    assert tables.create_table(ordered, f"{tmp_path}/t", "d", tables.MONTH, together=True) == 800
+    stored = tables.read_table(spark, f"{tmp_path}/t").select("d", "id")
+    assert sorted(stored.collect()) == sorted(days.collect())

@@ -2,6 +2,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from feedlake.operators.newest import newest_per_key
 from feedlake.operators.upsert import (
@@ -10,7 +11,9 @@ from feedlake.operators.upsert import (
     merge_key_violations,
     merge_upsert,
     repeated_keys,
+    upsert_table,
 )
+from feedlake.sources import tables
 
 SCHEMA = "k int, a string, b string"
 
@@ -160,3 +163,41 @@ def test_only_rows_of_repeated_keys_are_grouped(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(newest, "BROADCAST_KEYS", 2)
     found = newest.newest_of_repeated(df, ["k", "day"], ["at"], str(tmp_path / "b"))
     assert sorted(map(tuple, found.collect()), key=str) == want
+
+
+@pytest.mark.parametrize("ordered", [True, False])
+def test_rows_dealt_by_partition_merge_like_joined_ones(spark, ordered):
+    from datetime import date
+
+    from feedlake.operators.upsert import _merge_dealt
+
+    day = lambda n: date(2024, 1 + n % 3, 1 + n % 20)
+    schema = "day date, k int, at int, v string, w string"
+    # repeated and NULL keys stay as they are in the target
+    rows = [(day(k), k, k % 5, f"old{k}", "w") for k in range(60)] + [(day(1), 1, 9, "again", None), (None, 2, 1, "n", "w"), (day(4), None, 1, "n", "w")] * 2
+    target = frame(spark, rows, schema)
+    source = frame(spark, [(day(k), k, 3, None if k % 2 else f"new{k}") for k in range(0, 120, 4)] + [(day(1), 1, 3, "new")], "day date, k int, at int, v string")
+    wins = (lambda column: F.struct(column("at"))) if ordered else None
+    want = merge_upsert(target, source, ["day", "k"], unique_source=True, precedence=wins)
+    found = _merge_dealt(target, source, ["day", "k"], F.trunc("day", "month"), 3, 3, wins)
+    assert found.columns == target.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") <= 2
+
+
+def test_a_large_unique_increment_is_dealt_once(spark, tmp_path, monkeypatch):
+    from datetime import date
+
+    from feedlake.operators import upsert
+
+    rows = [(date(2024, 1 + k % 2, 1 + k % 9), k, f"v{k}") for k in range(50)]
+    whole = frame(spark, rows, "day date, k int, v string")
+    upsert_table(spark, whole, f"{tmp_path}/t", ["day", "k"], "day", tables.MONTH)
+    monkeypatch.setattr(upsert, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(upsert, "merge_upsert", None)
+    new = whole.filter("k % 3 = 0").withColumn("v", F.lit("new"))
+    load = upsert_table(spark, new, f"{tmp_path}/t", ["day", "k"], "day", unique_source=True)
+    assert load.rows == 17
+    stored = {r.k: r.v for r in tables.read_table(spark, f"{tmp_path}/t").collect()}
+    assert stored == {k: "new" if k % 3 == 0 else f"v{k}" for k in range(50)}

@@ -459,6 +459,37 @@ def test_lm_followers_of_all_training_documents(docs, monkeypatch):
     assert seen[0][0] == seen[0][1] > 0
 
 
+def test_lm_followers_of_rare_subwords(spark, monkeypatch):
+    """Every pair of subwords counts, whatever their rank, and however texts are dealt to chunks."""
+    rows = spark.createDataFrame([(n, f"{w} zebra quartz {w} zebra") for n, w in enumerate(["some", "more", "words", "here"] * 5)], "doc_id long, text string")
+    key = lambda r: (r.doc_id, r.score)
+    found = sorted(lm.score_texts(rows, F.col("doc_id") != 0).collect(), key=key)
+    monkeypatch.setattr(lm, "CLUSTERED", 3)
+    few = sorted(lm.score_texts(rows, F.col("doc_id") != 0).collect(), key=key)
+    monkeypatch.setattr(lm, "CLUSTERED", 1023)
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 50)
+    dealt = sorted(lm.score_texts(rows, F.col("doc_id") != 0).collect(), key=key)
+    assert [r.score for r in dealt] == pytest.approx([r.score for r in found], abs=1e-4)
+    # a subword beyond the clustered ones has its followers all the same
+    assert few[3].score > lm_without_followers(rows, monkeypatch)[3].score + 0.03
+    codes = lm._codes(np.array([5, 6, 5, lm.END]), np.array([0, 4]))
+    assert len(set(codes.tolist())) == 4 and codes[0] == lm._codes(np.array([5, lm.END]), np.array([0, 2]))[0]
+
+
+def lm_without_followers(rows, monkeypatch):
+    import pyarrow as pa
+
+    own = lm._sum_followers
+
+    def none(found):
+        zeros = [b"\0" * (len(r) // 8) for r in found.column("shingles").to_pylist()]
+        return own(found).set_column(3, "documents", pa.array(zeros, pa.binary()))
+
+    monkeypatch.setattr(lm, "CLUSTERED", 3)
+    monkeypatch.setattr(lm, "_sum_followers", none)
+    return sorted(lm.score_texts(rows, F.col("doc_id") != 0).collect(), key=lambda r: (r.doc_id, r.score))
+
+
 def test_lm_weights_see_every_training_document_once(docs, monkeypatch, tmp_path):
     at, subwords = str(tmp_path), []
     monkeypatch.setattr(lm, "Vocabulary", lambda counts, pairs, own=lm.Vocabulary: subwords.append(counts.sum()) or own(counts, pairs))
